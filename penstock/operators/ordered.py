@@ -1,0 +1,60 @@
+"""Sequential work on a long ordered history, cut into blocks of equal size.
+
+A window over `partitionBy(plant)` puts the whole history of a plant into one task. Here the rows
+are range-partitioned on keys and order together, so a plant with very many rows spreads over many
+blocks. Each block is worked on by itself; what one block owes the next is one small row per block
+and key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from penstock.session import pinned
+
+
+def order_blocks(
+    df: DataFrame, keys: list[str], order: list[str], blocks: int | None = None
+) -> DataFrame:
+    """`df` with a column `block` that rises along (keys, order).
+
+    The result is pinned: block borders come from a sample, and everything computed from the
+    blocks must see the same ones, also after a lost executor. `order` should make the rows of a
+    key unique, else equal rows cannot be parted.
+    """
+    count = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(count, *keys, *order)
+    return pinned(ranged.withColumn("block", F.spark_partition_id()))
+
+
+def running_totals(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    totals: dict[str, Column],
+    blocks: int | None = None,
+) -> DataFrame:
+    """Running sums per key in the given order, as new columns.
+
+    Level one: a sum per block and key, added up over the blocks. Level two: a running sum inside
+    each block that starts with a row holding the total so far.
+    """
+    cut = order_blocks(df.withColumns(totals), keys, order, blocks)
+    names = list(totals)
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut.groupBy(*keys, "block").agg(*[F.sum(n).alias(n) for n in names])
+    starts = starts.select(
+        *keys,
+        "block",
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in names],
+        F.lit(True).alias("_start"),
+    )
+    both = cut.withColumn("_start", F.lit(False)).unionByName(starts, allowMissingColumns=True)
+    inside = (
+        Window.partitionBy(*keys, "block")
+        .orderBy(F.col("_start").desc(), *order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    summed = both.withColumns({n: F.sum(n).over(inside) for n in names})
+    return summed.filter(~F.col("_start")).drop("_start", "block")
