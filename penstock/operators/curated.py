@@ -16,9 +16,12 @@ def parse_json(frame: DataFrame, schema: T.StructType, keep: list[str] = ()) ->
 
     Text that is no JSON gives a row of nulls, a field of the wrong type is null by itself,
     unknown fields are dropped, and fields the text lacks are null.
+
+    The fields come out of inline() and not out of a struct column: a later filter on them would
+    be pushed below the struct's projection and parse the text again for each field it names.
     """
-    event = F.from_json(F.col("value").cast("string"), schema).alias("_event")
-    return frame.select(event, *keep).select("_event.*", *keep)
+    event = F.from_json(F.col("value").cast("string"), schema)
+    return frame.select(F.inline(F.array(event)), *keep)
 
 
 def parse_events(frame: DataFrame, keep_raw: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penstock.functions import machine
@@ -43,26 +43,36 @@ def running_oee(readings: DataFrame, blocks: int | None = None) -> DataFrame:
     )
 
 
-def status_runs(readings: DataFrame, blocks: int | None = None) -> DataFrame:
+def status_runs(
+    readings: DataFrame, blocks: int | None = None, segment: Column | None = None
+) -> DataFrame:
     """Runs of consecutive readings in or out of maintenance, cut at block borders.
 
     `next_ts` is the first reading after the run inside the block, null at the block's end.
+    A `segment` that rises with time, such as a day number, cuts the runs as well, so that runs
+    of separate segments can be worked out apart and joined later.
     """
-    cut = order_blocks(readings.select(*STATUS_COLUMNS), ["plant_id"], TIME_ORDER, blocks)
-    cut = cut.withColumn("maintenance", F.coalesce(F.col("status") == MAINTENANCE, F.lit(False)))
-    in_block = Window.partitionBy("plant_id", "block").orderBy(*TIME_ORDER)
+    slim = readings.select(
+        *STATUS_COLUMNS, (F.lit(0) if segment is None else segment).cast("long").alias("segment")
+    )
+    cut = order_blocks(slim, ["plant_id"], TIME_ORDER, blocks)
+    place = ["plant_id", "segment", "block"]
+    in_block = Window.partitionBy(*place).orderBy(*TIME_ORDER)
+    flagged = cut.withColumn(
+        "maintenance", F.coalesce(F.col("status") == MAINTENANCE, F.lit(False))
+    )
     before = F.lag("maintenance").over(in_block)
-    changes = cut.withColumn(
+    changes = flagged.withColumn(
         "_change", F.when(F.col("maintenance") == before, 0).otherwise(1)
     )
     numbered = changes.withColumn("run", F.sum("_change").over(in_block))
-    runs = numbered.groupBy("plant_id", "block", "run").agg(
+    runs = numbered.groupBy(*place, "run").agg(
         F.any_value("maintenance").alias("maintenance"),
         F.min("event_ts").alias("start_ts"),
         F.max("event_ts").alias("end_ts"),
         F.count(F.lit(1)).alias("readings"),
     )
-    by_run = Window.partitionBy("plant_id", "block").orderBy("run")
+    by_run = Window.partitionBy(*place).orderBy("run")
     return runs.withColumns(
         {
             "next_ts": F.lead("start_ts").over(by_run),
@@ -73,20 +83,26 @@ def status_runs(readings: DataFrame, blocks: int | None = None) -> DataFrame:
 
 
 def join_runs(runs: DataFrame) -> DataFrame:
-    """Maintenance episodes out of runs that were cut at block borders.
+    """Maintenance episodes out of runs that were cut at block and segment borders.
 
     Only the first and last run of a block can continue in another one. Those, at most two per
     block and plant, are put in order by plant; all others stay with their block.
     """
     edge = F.col("first_in_block") | F.col("last_in_block")
-    # Every block number is at least 0, so -1 gathers the border runs of a plant.
-    placed = runs.withColumn("_place", F.when(edge, F.lit(-1)).otherwise(F.col("block")))
-    line = Window.partitionBy("plant_id", "_place").orderBy("block", "run")
-    goes_on = (
-        F.col("maintenance")
-        & F.lag("maintenance").over(line)
-        & (F.lag("block").over(line) != F.col("block"))
+    order = ["segment", "block", "run"]
+    # Segments and blocks are numbered from 0, so -1 gathers the border runs of a plant.
+    placed = runs.withColumns(
+        {
+            "_segment": F.when(edge, F.lit(-1)).otherwise(F.col("segment")),
+            "_block": F.when(edge, F.lit(-1)).otherwise(F.col("block")),
+        }
+    )
+    place = ["plant_id", "_segment", "_block"]
+    line = Window.partitionBy(*place).orderBy(*order)
+    other_block = (F.lag("block").over(line) != F.col("block")) | (
+        F.lag("segment").over(line) != F.col("segment")
     )
+    goes_on = F.col("maintenance") & F.lag("maintenance").over(line) & other_block
     numbered = placed.withColumns(
         {
             "_new": F.when(goes_on, 0).otherwise(1),
@@ -94,17 +110,17 @@ def join_runs(runs: DataFrame) -> DataFrame:
         }
     ).withColumn("_episode", F.sum("_new").over(line))
     # Where a run goes on in the next block, its "next reading" is not a return to service.
-    last = F.max_by("_resumed", F.struct("block", "run"))
+    last = F.max_by("_resumed", F.struct(*order))
     return (
         numbered.filter("maintenance")
-        .groupBy("plant_id", "_place", "_episode")
+        .groupBy(*place, "_episode")
         .agg(
             F.min("start_ts").alias("start_ts"),
             F.max("end_ts").alias("end_ts"),
             last.alias("resumed_ts"),
             F.sum("readings").alias("readings"),
         )
-        .drop("_place", "_episode")
+        .drop("_segment", "_block", "_episode")
     )
 
 

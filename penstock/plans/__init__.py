@@ -1,0 +1 @@
+"""Registered queries and the SQL to check them against."""

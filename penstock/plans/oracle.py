@@ -403,7 +403,8 @@ SELECT plant_id, metric, {settled("value")} AS value, reference,
 FROM long"""
 
 
-CLOSED_5M = """WHERE window_end <= (SELECT max(event_ts) FROM curated) - INTERVAL '10 minutes'"""
+# What a stream with a watermark of 10 minutes has given out at the end of the data.
+CLOSED = "WHERE window_end <= (SELECT max(event_ts) FROM curated) - INTERVAL '10 minutes'"
 
 CURATED_COLUMNS = ", ".join(
     ["event_id", "plant_id", "event_ts", "event_date", "event_hour", "status", "alert_level",
@@ -413,11 +414,25 @@ CURATED_COLUMNS = ", ".join(
 
 def oracle_sql() -> dict[str, str]:
     last = "plant_id, event_ts, event_id"
+    curated_rows = f"{CURATED} SELECT {CURATED_COLUMNS} FROM curated"
+    raw_rows = f"""{MEASURED}
+SELECT plant_id AS kafka_key, 'readings' AS kafka_topic, CAST(0 AS INTEGER) AS kafka_partition,
+  seq AS kafka_offset, event_ts AS kafka_timestamp, CAST(event_ts AS DATE) AS ingest_date
+FROM measured"""
+    rejected_rows = f"""{READINGS}
+SELECT seq AS kafka_offset, 'negative power' AS reason FROM readings WHERE power_mw < 0"""
+    episodes = f"""{EPISODES}
+SELECT plant_id, min(event_ts) AS start_ts, max(event_ts) AS end_ts,
+  arg_max(next_ts, event_ts) AS resumed_ts, count(*) AS readings
+FROM numbered WHERE m GROUP BY plant_id, run"""
     return {
         "window_kpis_1m": kpi_rows(1),
         "window_kpis_5m": kpi_rows(5),
         "window_kpis_1h": kpi_rows(60),
         "merge_kpis": kpi_rows(60),
+        "rebuild_windows": kpi_rows(60),
+        "stream_window_kpis_5m": kpi_rows(5, CLOSED),
+        "stream_window_kpis_1h": kpi_rows(60, CLOSED),
         "quality_filter": f"{READINGS} SELECT event_id, plant_id, power_mw, efficiency FROM usable",
         "quality_rejects": f"""{READINGS}
 SELECT event_id, plant_id, power_mw,
@@ -560,10 +575,8 @@ counted AS (
   FROM metered)
 SELECT {last}, {rounded("availability * least(1e0, power_mw / installed_mw)", 5)} AS oee
 FROM counted""",
-        "maintenance_episodes": f"""{EPISODES}
-SELECT plant_id, min(event_ts) AS start_ts, max(event_ts) AS end_ts,
-  arg_max(next_ts, event_ts) AS resumed_ts, count(*) AS readings
-FROM numbered WHERE m GROUP BY plant_id, run""",
+        "maintenance_episodes": episodes,
+        "stream_maintenance_episodes": episodes,
         "maintenance_seconds": f"""{SECONDS}
 SELECT * FROM seconds WHERE maintenance_seconds > 0""",
         "alert_breaches": kpi_rows(
@@ -579,16 +592,15 @@ SELECT k.plant_id, k.window_start, anomaly_count,
                 "rain_avg_mm_h", "flow_avg_m3_s")},
   coalesce(maintenance_seconds, 0e0) AS maintenance_seconds
 FROM kpis k LEFT JOIN seconds s ON k.plant_id = s.plant_id AND k.window_start = s.window_start""",
-        "bronze_project": f"""{MEASURED}
-SELECT plant_id AS kafka_key, 'readings' AS kafka_topic, CAST(0 AS INTEGER) AS kafka_partition,
-  seq AS kafka_offset, event_ts AS kafka_timestamp, CAST(event_ts AS DATE) AS ingest_date
-FROM measured""",
+        "bronze_project": raw_rows,
+        "stream_bronze": raw_rows,
         "parse_events": """
 SELECT event_id AS kafka_offset, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
-        "curated_from_json": f"{CURATED} SELECT {CURATED_COLUMNS} FROM curated",
-        "curated_from_bronze": f"{CURATED} SELECT {CURATED_COLUMNS} FROM curated",
-        "quarantine": f"""{READINGS}
-SELECT seq AS kafka_offset, 'negative power' AS reason FROM readings WHERE power_mw < 0""",
+        "curated_from_json": curated_rows,
+        "curated_from_bronze": curated_rows,
+        "stream_curated": curated_rows,
+        "quarantine": rejected_rows,
+        "stream_quarantine": rejected_rows,
         "union_schema_versions": f"""{METERED}
 SELECT event_id, versao, installed_mw, {', '.join(METRICS)}
 FROM metered CROSS JOIN (VALUES ('2.0'), ('3.0')) AS v(versao)""",

@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from penstock.functions import alerts
 from penstock.functions.numbers import settled_round
-from penstock.model import KPI_TABLE
+from penstock.model import CURATED_TABLE, KPI_TABLE, RAW_TABLE
 from penstock.operators import curated as cur
 from penstock.operators import distribution, enrich, history, insight, kpis, raw
+from penstock.session import scratch_path
 from penstock.settings import CURVE, CURVE_V2, LIMITS_V2
+from penstock.sources import log, tables
 from penstock.sources import readings as src
-from penstock.sources import tables
+from penstock.streaming import jobs
+from penstock.streaming.sinks import write_batch
+from penstock.upkeep import freshness, rewrite
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -294,6 +299,104 @@ def recent_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.recent_files_scan(spark, path, schema).select("event_id", "ts", "value")
 
 
+# Streams ----------------------------------------------------------------------------------------
+
+NOW_AVAILABLE = {"availableNow": True}
+
+
+def _curated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A stream reads a folder or a pattern, not one file.
+    schema = tables.schema_probe(spark, f"{sf_dir}/events.parquet")
+    events = tables.table_stream(spark, f"{sf_dir}/events*.parquet", schema)
+    readings = src.readings_from(events, src.adapter_plants(spark))
+    return cur.derive_columns(src.metered(readings))
+
+
+def _frame_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """The readings as log records, each of them sent twice."""
+    frame = _frame(spark, sf_dir)
+    again = frame.withColumn("offset", F.col("offset") + 1_000_000_000_000)
+    frame.union(again).write.parquet(f"{base}/log")
+    return log.frame_source(spark, f"{base}/log")
+
+
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "bronze")
+    _frame(spark, sf_dir).write.parquet(f"{base}/log")
+    frame = log.frame_source(spark, f"{base}/log")
+    jobs.raw_job(
+        frame, f"{base}/raw", f"{base}/state", trigger=NOW_AVAILABLE
+    ).awaitTermination()
+    return tables.table_scan(spark, f"{base}/raw", RAW_TABLE).drop("raw_json")
+
+
+def stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "curated")
+    frame = _frame_stream(spark, sf_dir, base)
+    # By day only: a month of readings in one batch would make a file per plant and day.
+    jobs.curated_job(
+        frame, f"{base}/curated", f"{base}/state", by=["event_date"], trigger=NOW_AVAILABLE
+    ).awaitTermination()
+    stored = tables.table_scan(spark, f"{base}/curated", CURATED_TABLE)
+    return stored.select(*CURATED_COLUMNS)
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "quarantine")
+    _frame(spark, sf_dir).write.parquet(f"{base}/log")
+    frame = log.frame_source(spark, f"{base}/log")
+    jobs.quarantine_job(
+        frame, f"{base}/rejected", f"{base}/state", trigger=NOW_AVAILABLE
+    ).awaitTermination()
+    return spark.read.parquet(f"{base}/rejected").select("kafka_offset", "reason")
+
+
+def stream_window_kpis(minutes: int) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = scratch_path(spark, "kpis")
+        readings = _curated_stream(spark, sf_dir)
+        jobs.kpi_job(
+            readings, f"{base}/kpis", f"{base}/state", minutes, trigger=NOW_AVAILABLE
+        ).awaitTermination()
+        return settled(tables.kpi_scan(spark, f"{base}/kpis"))
+
+    return query
+
+
+def stream_maintenance_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "episodes")
+    write_batch(src.curated(spark, sf_dir), 0, f"{base}/curated", ["event_date"], "event_id")
+    readings = tables.table_stream(spark, f"{base}/curated", CURATED_TABLE)
+    jobs.run_job(
+        readings, f"{base}/curated", f"{base}/runs", f"{base}/state", trigger=NOW_AVAILABLE
+    ).awaitTermination()
+    return jobs.stored_episodes(spark, f"{base}/runs")
+
+
+# Upkeep -----------------------------------------------------------------------------------------
+
+
+def layer_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = {name: (f"{sf_dir}/{name}.parquet", 600) for name in ("events", "lineitem")}
+    return freshness.layer_freshness(spark, layers)
+
+
+def rebuild_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPI windows of all days from a stored curated table, in place of what was there."""
+    base = scratch_path(spark, "rebuild")
+    write_batch(src.curated(spark, sf_dir), 0, f"{base}/curated", ["event_date"], "event_id")
+    rewrite.rebuild_windows(
+        spark,
+        f"{base}/curated",
+        CURATED_TABLE,
+        f"{base}/kpis",
+        60,
+        date(1970, 1, 1),
+        date(9999, 12, 31),
+    )
+    return settled(tables.kpi_scan(spark, f"{base}/kpis"))
+
+
 def queries() -> dict[str, Query]:
     curated, metered = src.curated, _metered
     time_line = ["plant_id", "event_ts", "event_id"]
@@ -416,4 +519,12 @@ def queries() -> dict[str, Query]:
         "quarantine": quarantine,
         "union_schema_versions": union_schema_versions,
         "union_files_by_name": union_files_by_name,
+        "stream_bronze": stream_bronze,
+        "stream_curated": stream_curated,
+        "stream_quarantine": stream_quarantine,
+        "stream_window_kpis_5m": stream_window_kpis(5),
+        "stream_window_kpis_1h": stream_window_kpis(60),
+        "stream_maintenance_episodes": stream_maintenance_episodes,
+        "rebuild_windows": rebuild_windows,
+        "layer_freshness": layer_freshness,
     }

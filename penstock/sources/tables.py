@@ -15,11 +15,12 @@ def table_scan(
     """A layer with its declared schema, so partition values keep their types.
 
     Filters and columns asked for later reach the scan; partitions prune by their values.
+    Layout columns the schema does not name, such as the batch number, are left out.
     """
     reader = spark.read.schema(schema)
     if skip_unreadable:
         reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*schema.names)
 
 
 def kpi_scan(spark: SparkSession, path: str) -> DataFrame:
@@ -38,7 +39,8 @@ def table_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int = 100
 ) -> DataFrame:
     """New files of a layer. The schema is declared, so the layer may still be empty."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path).select(*schema.names)
 
 
 def schema_probe(spark: SparkSession, path: str) -> T.StructType:
@@ -67,8 +69,11 @@ def recent_files_scan(
     paths = [row.path for row in newest.select("path").collect()]
     if not paths:
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("basePath", path).option("ignoreCorruptFiles", True)
-    return reader.option("ignoreMissingFiles", True).parquet(*paths)
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", True)
+    reader = reader.option("ignoreMissingFiles", True)
+    if paths != [path] and not paths[0].endswith(path):
+        reader = reader.option("basePath", path)  # partition values come from below it
+    return reader.parquet(*paths)
 
 
 def file_census(tables: dict[str, DataFrame]) -> DataFrame:

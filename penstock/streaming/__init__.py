@@ -1,0 +1 @@
+"""The layers as streaming queries."""

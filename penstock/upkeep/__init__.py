@@ -1,0 +1 @@
+"""Jobs that keep long-running tables in shape."""
