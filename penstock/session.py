@@ -19,6 +19,11 @@ RECOMMENDED = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # The call site of every single column expression, of use only in error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Stages with many columns generate methods beyond the size the JVM compiles by default.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
