@@ -423,7 +423,7 @@ FROM measured"""
 SELECT seq AS kafka_offset, 'negative power' AS reason FROM readings WHERE power_mw < 0"""
     episodes = f"""{EPISODES}
 SELECT plant_id, min(event_ts) AS start_ts, max(event_ts) AS end_ts,
-  arg_max(next_ts, event_ts) AS resumed_ts, count(*) AS readings
+  CASE WHEN count(next_ts) = count(*) THEN max(next_ts) END AS resumed_ts, count(*) AS readings
 FROM numbered WHERE m GROUP BY plant_id, run"""
     return {
         "window_kpis_1m": kpi_rows(1),
