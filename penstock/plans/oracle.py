@@ -112,7 +112,7 @@ powered AS (
     {rounded("sqrt(power_mw * power_mw + reactive_power_mvar * reactive_power_mvar)", 4)}
       AS apparent_power_mva,
     {rounded("water_mw * (1e0 - efficiency)", 4)} AS power_loss_mw,
-    CAST(event_ts AS DATE) AS event_date,
+    CAST(CAST(event_ts AS DATE) AS VARCHAR) AS event_date,
     CAST(hour(event_ts) AS INTEGER) AS event_hour
   FROM metered),
 curated AS (
@@ -417,7 +417,8 @@ def oracle_sql() -> dict[str, str]:
     curated_rows = f"{CURATED} SELECT {CURATED_COLUMNS} FROM curated"
     raw_rows = f"""{MEASURED}
 SELECT plant_id AS kafka_key, 'readings' AS kafka_topic, CAST(0 AS INTEGER) AS kafka_partition,
-  seq AS kafka_offset, event_ts AS kafka_timestamp, CAST(event_ts AS DATE) AS ingest_date
+  seq AS kafka_offset, event_ts AS kafka_timestamp, CAST(CAST(event_ts AS DATE) AS VARCHAR)
+    AS ingest_date
 FROM measured"""
     rejected_rows = f"""{READINGS}
 SELECT seq AS kafka_offset, 'negative power' AS reason FROM readings WHERE power_mw < 0"""
@@ -582,6 +583,9 @@ SELECT * FROM seconds WHERE maintenance_seconds > 0""",
         "alert_breaches": kpi_rows(
             60, "WHERE critical_rate_pct > 5 OR vibration_max_mm_s > 4.5e0"
         ),
+        "stream_alert_breaches": kpi_rows(
+            60, f"{CLOSED} AND (critical_rate_pct > 5 OR vibration_max_mm_s > 4.5e0)"
+        ),
         "documented_kpis_5m": f"""{with_kpis(5)}
 SELECT plant_id, window_start, {settled_list("power_avg_mw", "power_max_mw", "efficiency_avg")}
 FROM kpis""",
@@ -599,6 +603,18 @@ SELECT event_id AS kafka_offset, CAST(json_extract(props, '$.k') AS BIGINT) AS k
         "curated_from_json": curated_rows,
         "curated_from_bronze": curated_rows,
         "stream_curated": curated_rows,
+        "single_file_compaction": curated_rows,
+        "retention_by_partition_date": f"""{CURATED}
+SELECT event_id, plant_id, event_ts FROM curated
+WHERE CAST(event_ts AS DATE) >= (
+  SELECT CAST(max(event_ts) - INTERVAL '6 hours' AS DATE) FROM curated)""",
+        "keyed_json_publish": f"""{READINGS}
+SELECT plant_id AS key, event_id, status, power_mw FROM readings""",
+        "event_key": f"""{READINGS}
+SELECT event_id, concat_ws('-', plant_id, seq, epoch_us(event_ts) // 1000) AS event_key FROM usable""",
+        "plant_label": f"""{READINGS}
+SELECT DISTINCT plant_id, upper(plant_id[1]) || replace(plant_id[2:], '_', ' ') AS label
+FROM usable""",
         "quarantine": rejected_rows,
         "stream_quarantine": rejected_rows,
         "union_schema_versions": f"""{METERED}

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penstock.functions import alerts
+from penstock.functions import alerts, machine, numbers
 from penstock.functions.numbers import settled_round
 from penstock.model import CURATED_TABLE, KPI_TABLE, RAW_TABLE
 from penstock.operators import curated as cur
@@ -18,8 +18,8 @@ from penstock.settings import CURVE, CURVE_V2, LIMITS_V2
 from penstock.sources import log, tables
 from penstock.sources import readings as src
 from penstock.streaming import jobs
-from penstock.streaming.sinks import write_batch
-from penstock.upkeep import freshness, rewrite
+from penstock.streaming.sinks import batch_writer, write_batch
+from penstock.upkeep import freshness, retention, rewrite
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,11 @@ def _kpis(minutes: int) -> Query:
 _kpis_5m, _kpis_1h = _kpis(5), _kpis(60)
 
 
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """Engines hand dates over in different types; their text is the same."""
+    return df.withColumns({c: F.col(c).cast("string") for c, kind in df.dtypes if kind == "date"})
+
+
 def _on(source: Query, operator: Callable[[DataFrame], DataFrame], settle: bool = False) -> Query:
     """The operator applied to the source; doubles settled where the operator adds them up."""
 
@@ -192,7 +197,7 @@ def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.raw_project(_frame(spark, sf_dir)).drop("raw_json")
+    return dates_as_text(raw.raw_project(_frame(spark, sf_dir)).drop("raw_json"))
 
 
 def parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,12 +208,12 @@ def parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cur.curate(_frame(spark, sf_dir)).select(*CURATED_COLUMNS)
+    return dates_as_text(cur.curate(_frame(spark, sf_dir)).select(*CURATED_COLUMNS))
 
 
 def curated_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = raw.raw_project(_frame(spark, sf_dir))
-    return cur.curate(raw.raw_as_frame(stored)).select(*CURATED_COLUMNS)
+    return dates_as_text(cur.curate(raw.raw_as_frame(stored)).select(*CURATED_COLUMNS))
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +239,28 @@ def union_files_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyed_json_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and some fields of the records that go to the log."""
+    records = _frame(spark, sf_dir)
+    text = F.col("value").cast("string")
+    return records.select(
+        F.col("key").cast("string").alias("key"),
+        F.get_json_object(text, "$.event_id").alias("event_id"),
+        F.get_json_object(text, "$.status_operacional").alias("status"),
+        F.get_json_object(text, "$.potencia_mw").cast("double").alias("power_mw"),
+    )
+
+
+def event_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = machine.event_key(F.col("plant_id"), F.col("seq"), F.col("event_ts"))
+    return _usable(spark, sf_dir).select("event_id", key.alias("event_key"))
+
+
+def plant_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = numbers.plant_label(F.col("plant_id")).alias("label")
+    return _usable(spark, sf_dir).select("plant_id", label).distinct()
+
+
 # KPIs -------------------------------------------------------------------------------------------
 
 
@@ -327,7 +354,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.raw_job(
         frame, f"{base}/raw", f"{base}/state", trigger=NOW_AVAILABLE
     ).awaitTermination()
-    return tables.table_scan(spark, f"{base}/raw", RAW_TABLE).drop("raw_json")
+    return dates_as_text(tables.table_scan(spark, f"{base}/raw", RAW_TABLE).drop("raw_json"))
 
 
 def stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,7 +365,7 @@ def stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame, f"{base}/curated", f"{base}/state", by=["event_date"], trigger=NOW_AVAILABLE
     ).awaitTermination()
     stored = tables.table_scan(spark, f"{base}/curated", CURATED_TABLE)
-    return stored.select(*CURATED_COLUMNS)
+    return dates_as_text(stored.select(*CURATED_COLUMNS))
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,9 +400,42 @@ def stream_maintenance_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.stored_episodes(spark, f"{base}/runs")
 
 
+def stream_alert_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "breaches")
+    sink = batch_writer(f"{base}/breaches", ["plant_id"], "window_start")
+    jobs.breach_job(
+        _curated_stream(spark, sf_dir), sink, f"{base}/state", 60, trigger=NOW_AVAILABLE
+    ).awaitTermination()
+    return settled(tables.table_scan(spark, f"{base}/breaches", KPI_TABLE))
+
+
 # Upkeep -----------------------------------------------------------------------------------------
 
 
+def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day written in two batches and merged into one."""
+    base = scratch_path(spark, "compaction")
+    path = f"{base}/curated"
+    rows, half = src.curated(spark, sf_dir), F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for number in range(2):
+        write_batch(rows.filter(half == number), number, path, ["event_date"], "event_id")
+    days = retention.partition_dates(spark, path, "event_date")
+    rewrite.compact(spark, path, CURATED_TABLE, "event_date", days, ["event_date"], "event_id")
+    stored = tables.table_scan(spark, path, CURATED_TABLE)
+    return dates_as_text(stored.select(*CURATED_COLUMNS))
+
+
+def curated_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left six hours after the newest reading."""
+    base = scratch_path(spark, "retention")
+    write_batch(src.curated(spark, sf_dir), 0, f"{base}/curated", ["event_date"], "event_id")
+    stored = tables.table_scan(spark, f"{base}/curated", CURATED_TABLE)
+    now = stored.agg(F.max("event_ts")).first()[0]
+    retention.curated_retention(spark, f"{base}/curated", now)
+    left = tables.table_scan(spark, f"{base}/curated", CURATED_TABLE)
+    return left.select("event_id", "plant_id", "event_ts")
+
+
 def layer_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = {name: (f"{sf_dir}/{name}.parquet", 600) for name in ("events", "lineitem")}
     return freshness.layer_freshness(spark, layers)
@@ -412,7 +472,9 @@ def queries() -> dict[str, Query]:
         "merge_kpis": merge_kpis,
         "quality_filter": _pick(_usable, "event_id", "plant_id", "power_mw", "efficiency"),
         "quality_rejects": quality_rejects,
-        "calendar_columns": _pick(curated, "event_id", "event_ts", "event_date", "event_hour"),
+        "calendar_columns": _on(
+            _pick(curated, "event_id", "event_ts", "event_date", "event_hour"), dates_as_text
+        ),
         "performance_columns": _pick(curated, "event_id", *PERFORMANCE),
         "alert_flags": _pick(curated, "event_id", *FLAGS),
         "derived_metrics": _pick(metered, "event_id", *METRICS),
@@ -525,6 +587,12 @@ def queries() -> dict[str, Query]:
         "stream_window_kpis_5m": stream_window_kpis(5),
         "stream_window_kpis_1h": stream_window_kpis(60),
         "stream_maintenance_episodes": stream_maintenance_episodes,
+        "stream_alert_breaches": stream_alert_breaches,
         "rebuild_windows": rebuild_windows,
+        "single_file_compaction": compaction,
+        "retention_by_partition_date": curated_retention,
+        "keyed_json_publish": keyed_json_publish,
+        "event_key": event_key,
+        "plant_label": plant_label,
         "layer_freshness": layer_freshness,
     }

@@ -2,11 +2,14 @@
 
 Every job takes a stream and returns a started query. `trigger` is passed to the writer, such as
 `{"availableNow": True}`; without it the job runs at the interval of the settings. Every table is
-written with a batch number, so that a batch repeated after a failure replaces itself.
+written with a batch number, so that a batch repeated after a failure replaces itself. `upkeep`,
+such as a retention run, is called after every so many batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 from penstock.operators import curated, history, kpis, raw
 from penstock.settings import LIMITS, Limits, Settings
 from penstock.sources.tables import table_scan
-from penstock.streaming.sinks import BATCH, BatchFunction, batch_writer, write_batch
+from penstock.streaming.sinks import BATCH, BatchFunction, batch_writer, every, write_batch
+
+
+def _kept_up(sink: BatchFunction, batches: int, upkeep: Callable[[], None] | None) -> BatchFunction:
+    return every(batches, upkeep, sink) if upkeep else sink
 
 
 def _start(
@@ -41,10 +48,12 @@ def raw_job(
     path: str,
     checkpoint: str,
     settings: Settings = Settings(),
+    upkeep: Callable[[], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Log to raw table, by ingest date."""
     sink = batch_writer(path, ["ingest_date"], "kafka_offset")
+    sink = _kept_up(sink, settings.raw_maintenance_batches, upkeep)
     stored = raw.raw_project(frame)
     return _start(stored, "raw", sink, checkpoint, settings.raw_trigger_seconds, trigger)
 
@@ -57,6 +66,7 @@ def curated_job(
     limits: Limits = LIMITS,
     dedup: bool = True,
     by: list[str] = ("event_date", "plant_id"),
+    upkeep: Callable[[], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Log or raw table to curated table; a repeated event id is dropped within the watermark."""
@@ -64,6 +74,7 @@ def curated_job(
     if dedup:
         rows = curated.dedup_stream(rows, settings.watermark)
     sink = batch_writer(path, list(by), "event_id")
+    sink = _kept_up(sink, settings.curated_maintenance_batches, upkeep)
     return _start(rows, "curated", sink, checkpoint, settings.curated_trigger_seconds, trigger)
 
 
@@ -91,12 +102,14 @@ def kpi_job(
     checkpoint: str,
     minutes: int,
     settings: Settings = Settings(),
+    upkeep: Callable[[], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Curated stream to KPI table, by window date. Later data: see upkeep.rebuild."""
     closed = closed_window_kpis(readings, minutes, settings.watermark)
     dated = closed.withColumn("window_date", F.to_date("window_start"))
     sink = batch_writer(path, ["window_date"], "plant_id")
+    sink = _kept_up(sink, settings.kpi_maintenance_batches, upkeep)
     name = f"kpis_{minutes}m"
     return _start(dated, name, sink, checkpoint, settings.kpi_trigger_seconds, trigger)
 

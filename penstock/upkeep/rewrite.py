@@ -75,13 +75,17 @@ def compact(
     path: str,
     schema: T.StructType,
     column: str,
-    day: date,
+    days: list[date],
     by: list[str],
     spread: str,
 ) -> int:
-    """The batches of one day as one batch with few, even files. Returns the batches merged."""
-    old = _batches_of(spark, path, column, day)
-    if len(old) < 2:
+    """The batches of closed days as one batch with few, even files, in one job for all days.
+
+    Days that are a single batch already are left alone. Returns the folders merged.
+    """
+    per_day = [_batches_of(spark, path, column, day) for day in days]
+    old = [leaf for leaves in per_day if len(leaves) > 1 for leaf in leaves]
+    if not old:
         return 0
     full = with_columns_of_layout(schema, (column, T.DateType()), (BATCH, T.LongType()))
     reader = spark.read.schema(full).option("basePath", path)

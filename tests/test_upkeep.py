@@ -70,7 +70,7 @@ def test_compaction(spark, table, tmp_path):
         write_batch(table.filter(F.pmod("kafka_offset", F.lit(3)) == i), i, path, by, "event_id")
     day = date(2024, 5, 1)
     files = len(list((tmp_path / "t").rglob("*.parquet")))
-    merged = rewrite.compact(spark, path, CURATED_TABLE, "event_date", day, by, "event_id")
+    merged = rewrite.compact(spark, path, CURATED_TABLE, "event_date", [day], by, "event_id")
     assert merged == 15  # three batches of five plants
     spark.catalog.refreshByPath(path)
     stored = tables.table_scan(spark, path, CURATED_TABLE)
@@ -79,14 +79,14 @@ def test_compaction(spark, table, tmp_path):
     assert len(list((tmp_path / "t").rglob("*.parquet"))) < files
     assert Folder(spark, path).below("_staged").folders() == []
     # Five folders are left, one per plant; merging again is allowed.
-    assert rewrite.compact(spark, path, CURATED_TABLE, "event_date", day, by, "event_id") == 5
+    assert rewrite.compact(spark, path, CURATED_TABLE, "event_date", [day], by, "event_id") == 5
 
 
 def interrupted(spark, monkeypatch, path, table, day):
     """A compaction that stops after its files and its list of old batches are written."""
     with monkeypatch.context() as patch:
         patch.setattr(rewrite, "_swap", lambda *args: None)
-        rewrite.compact(spark, path, CURATED_TABLE, "event_date", day, ["event_date"], "event_id")
+        rewrite.compact(spark, path, CURATED_TABLE, "event_date", [day], ["event_date"], "event_id")
 
 
 def test_interrupted_compaction_is_finished(spark, table, tmp_path, monkeypatch):
