@@ -10,15 +10,16 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from penstock.operators import curated, kpis, raw  # noqa: E402
 from penstock.plans import registry  # noqa: E402
-from penstock.session import RECOMMENDED  # noqa: E402
+from penstock.session import RECOMMENDED, scratch_path  # noqa: E402
+from penstock.sources import readings as src  # noqa: E402
 
 HEADLINE = [
     "window_kpis_1m",
@@ -54,8 +55,6 @@ def session(cpus: int) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("penstock-bench")
     for key, value in RECOMMENDED.items():
         builder = builder.config(key, value)
-    if "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
     return (
         builder.config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "12g")
@@ -71,10 +70,32 @@ def timed(query, spark: SparkSession, sf_dir: str) -> float:
     return time.perf_counter() - start
 
 
+def median(query, spark: SparkSession, sf_dir: str, runs: int) -> float:
+    timed(query, spark, sf_dir)
+    return statistics.median(timed(query, spark, sf_dir) for _ in range(runs))
+
+
+def layer_seconds(spark: SparkSession, sf_dir: str, runs: int) -> dict[str, float]:
+    """Each layer by itself, from the stored layer below it."""
+    base = scratch_path(spark, "layers")
+    parts = spark.sparkContext.defaultParallelism
+    src.event_frame(src.readings(spark, sf_dir)).repartition(parts).write.parquet(f"{base}/log")
+    log = spark.read.parquet(f"{base}/log")
+    curated.curate(log).repartition(parts).write.parquet(f"{base}/curated")
+    stored = spark.read.parquet(f"{base}/curated")
+    layers = {
+        "raw": lambda spark, sf_dir: raw.raw_project(log),
+        "curated": lambda spark, sf_dir: curated.curate(log),
+        "kpis_5m": lambda spark, sf_dir: kpis.window_kpis(stored, 5),
+        "kpis_1h": lambda spark, sf_dir: kpis.window_kpis(stored, 60),
+    }
+    return {name: median(layer, spark, sf_dir, runs) for name, layer in layers.items()}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     known = registry.queries()
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(known) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
@@ -83,12 +104,10 @@ def main() -> None:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     seconds = {}
     for name in names:
-        timed(known[name], spark, sf_dir)
-        times = [timed(known[name], spark, sf_dir) for _ in range(runs)]
-        seconds[name] = round(statistics.median(times), 3)
+        seconds[name] = round(median(known[name], spark, sf_dir, runs), 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
-    layers = {"curated": "curated_from_json", "kpis": "window_kpis_5m"}
-    rates = {k: round(events / seconds[q]) for k, q in layers.items() if q in seconds}
+    layers = layer_seconds(spark, sf_dir, runs)
+    rates = {name: round(events / taken) for name, taken in layers.items()}
     print(
         json.dumps(
             {
