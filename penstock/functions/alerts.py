@@ -19,6 +19,7 @@ def graded(value: Column, steps: list[tuple[float, str]], otherwise: str) -> Col
 
 
 def efficiency_band(efficiency: Column) -> Column:
+    # Fixed values
     return graded(efficiency, [(0.88, "ALTA"), (0.80, "MEDIA")], "BAIXA")
 
 

@@ -612,6 +612,9 @@ WHERE CAST(event_ts AS DATE) >= (
 SELECT plant_id AS key, event_id, status, power_mw FROM readings""",
         "event_key": f"""{READINGS}
 SELECT event_id, concat_ws('-', plant_id, seq, epoch_us(event_ts) // 1000) AS event_key FROM usable""",
+        "oee_below_min": f"{METERED} SELECT event_id, oee < 0.70e0 AS oee_below_min FROM metered",
+        "table_scan": f"""{with_kpis(60)}
+SELECT plant_id, window_start, window_end, event_count FROM kpis""",
         "plant_label": f"""{READINGS}
 SELECT DISTINCT plant_id, upper(plant_id[1]) || replace(plant_id[2:], '_', ' ') AS label
 FROM usable""",

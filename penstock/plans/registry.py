@@ -256,6 +256,11 @@ def event_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _usable(spark, sf_dir).select("event_id", key.alias("event_key"))
 
 
+def oee_below_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    below = alerts.oee_below_min(F.col("oee"))
+    return _metered(spark, sf_dir).select("event_id", below.alias("oee_below_min"))
+
+
 def plant_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = numbers.plant_label(F.col("plant_id")).alias("label")
     return _usable(spark, sf_dir).select("plant_id", label).distinct()
@@ -320,6 +325,16 @@ def file_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A KPI table by plant with its window bounds as text, read back and put in order."""
+    path = f"{scratch_path(spark, 'table')}/kpis"
+    as_text = {c: F.col(c).cast("string") for c in ("window_start", "window_end")}
+    written = _kpis_1h(spark, sf_dir).select("plant_id", *as_text, "event_count")
+    written.withColumns(as_text).write.partitionBy("plant_id").parquet(path)
+    stored = tables.table_scan(spark, path, tables.schema_probe(spark, path))
+    return insight.newest_first(tables.text_window_bounds(stored))
+
+
 def recent_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
@@ -594,5 +609,7 @@ def queries() -> dict[str, Query]:
         "keyed_json_publish": keyed_json_publish,
         "event_key": event_key,
         "plant_label": plant_label,
+        "oee_below_min": oee_below_min,
+        "table_scan": table_scan,
         "layer_freshness": layer_freshness,
     }

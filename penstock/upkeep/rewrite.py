@@ -44,7 +44,10 @@ def replace_batches(
 
 
 def finish(spark: SparkSession, path: str) -> int:
-    """Complete rewrites that were interrupted after their files were written; drop others."""
+    """Complete rewrites that were interrupted after their files were written; drop others.
+
+    Call it before a rewrite starts, not while one is at work on the table.
+    """
     staged = Folder(spark, path).below(STAGED)
     names = staged.folders()
     for name in names:
@@ -81,7 +84,9 @@ def compact(
 ) -> int:
     """The batches of closed days as one batch with few, even files, in one job for all days.
 
-    Days that are a single batch already are left alone. Returns the folders merged.
+    Days that are a single batch already are left alone. Returns the folders merged. A stream that
+    reads this table sees the merged files as new; its watermark drops their rows as late, so a
+    day is closed once every watermark has passed it.
     """
     per_day = [_batches_of(spark, path, column, day) for day in days]
     old = [leaf for leaves in per_day if len(leaves) > 1 for leaf in leaves]

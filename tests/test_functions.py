@@ -111,7 +111,15 @@ def test_optional_unknown(spark):
 
 @pytest.mark.parametrize(
     ("text", "number", "share"),
-    [("0.5", 0.5, 0.5), ("x", 0.0, 0.0), (None, 0.0, 0.0), ("NaN", 0.0, 0.0), ("7", 7.0, 1.0), ("Infinity", math.inf, 1.0), ("-3", -3.0, 0.0)],
+    [
+        ("0.5", 0.5, 0.5),
+        ("x", 0.0, 0.0),
+        (None, 0.0, 0.0),
+        ("NaN", 0.0, 0.0),
+        ("7", 7.0, 1.0),
+        ("Infinity", math.inf, 1.0),
+        ("-3", -3.0, 0.0),
+    ],
 )
 def test_lenient_numbers(spark, text, number, share):
     assert value(spark, numbers.number_or_zero(F.lit(text))) == number
