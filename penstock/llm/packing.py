@@ -30,7 +30,7 @@ LENGTH = 1024
 EOS = 2
 # Parts of texts whose ids a worker remembers.
 REMEMBERED = 1_000_000
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 1_000
 BLANKS = re.compile(r"\s\s")
 
 
