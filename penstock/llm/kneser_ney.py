@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from penstock.llm import common
 from penstock.session import scratch_path
 
+# Tokens that a task counts, or scores, at a time.
 CHUNK = 2_000_000
+SCORED = 400_000
 BUCKET_TOKENS = 4_000_000
 PART_WORDS = 1_000_000
 REMEMBERED = 400_000
@@ -59,8 +61,10 @@ def tokens(raw: bytes, hashes: dict) -> np.ndarray:
     return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
-    """(tokens, first token of each document, ids) of so many documents that there are CHUNK tokens."""
+def _chunks(
+    batches: Iterator[pa.RecordBatch], least: int = CHUNK
+) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
+    """(tokens, first token of each document, ids) of so many documents that there are `least` tokens."""
     hashes = _Hashes()
     held, ids, size = [], [], 0
 
@@ -73,7 +77,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
             held.append(tokens(raw.as_py() or b"", hashes))
             ids.append(id_)
             size += len(held[-1])
-            if size >= CHUNK:
+            if size >= least:
                 yield full()
                 held, ids, size = [], [], 0
     if held:
@@ -446,7 +450,7 @@ def _part_of(vocabulary: Vocabulary):
 
 def _score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     v = model.vocabulary
-    for found, starts, ids in _chunks(batches):
+    for found, starts, ids in _chunks(batches, SCORED):
         score, n = model.log10(found, starts)
         base = np.log10((n + 0.1) / (v.tokens + 0.1 * (v.size + 1)))
         sizes = np.diff(np.append(starts, len(found)))
