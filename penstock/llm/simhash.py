@@ -301,7 +301,7 @@ def deduplicated(
     its sets of `size`-word shingles have a Jaccard index of at least `least`.
 
     Rows without doc_id cannot be named and are all kept; rows that share a doc_id stay or go
-    together. Null and empty texts are copies of each other."""
+    together. Null texts and texts without a word are copies of each other."""
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
     printed = common.stored(
         fingerprints(
