@@ -91,8 +91,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, span: int = 2) -> DataFrame:
     """(`id`, `digest`, `covered`): for each text with repeats, the first sentences of its repeated
-    runs. Frequent runs are counted before the shuffle; the join back is an ordinary equi-join,
-    whose hot keys Spark splits."""
+    runs. Frequent runs are counted before the shuffle; what is repeated is a table of its own, so
+    that the join back is an ordinary one, whose hot keys Spark splits."""
     fields = "high bigint, low bigint, at int, again boolean, id bigint, digest bigint"
     found = _keyed(docs).select("id", "digest", "raw").mapInArrow(partial(_run_batches, span=span), fields)
     found = common.stored(found, "runs")
@@ -102,6 +102,7 @@ def repeats(docs: DataFrame, span: int = 2) -> DataFrame:
         .where("n > 1")
         .select("high", "low", "first_id")
     )
+    first = common.stored(first, "repeated")
     later = found.join(first, ["high", "low"]).where("again or id > first_id")
     return later.groupBy("id", "digest").agg(F.collect_set("at").alias("covered"))
 
