@@ -125,8 +125,9 @@ def documented_kpis_5m(kpis_5m: DataFrame) -> DataFrame:
 
 
 def documented_kpis_1h(kpis_1h: DataFrame, seconds: DataFrame) -> DataFrame:
-    """Hourly metrics with the seconds in maintenance; an hour without any has 0."""
-    joined = kpis_1h.join(seconds, ["plant_id", "window_start"], "left")
+    """Hourly metrics with the seconds in maintenance; an hour without any has 0, and an hour of
+    maintenance without a reading has the seconds alone."""
+    joined = kpis_1h.join(seconds, ["plant_id", "window_start"], "full")
     filled = joined.withColumn(
         "maintenance_seconds", F.coalesce(F.col("maintenance_seconds"), F.lit(0.0))
     )

@@ -6,6 +6,8 @@ be held against each other.
 
 from __future__ import annotations
 
+from penstock.sources.readings import ADAPTER_PLANTS
+
 
 def rounded(expression: str, digits: int) -> str:
     """Half-up rounding of a double's shortest decimal form."""
@@ -24,13 +26,13 @@ def settled_list(*names: str, digits: int = 6) -> str:
     return ", ".join(f"{settled(name, digits)} AS {name}" for name in names)
 
 
-PLANTS = """
-plants AS (SELECT * FROM (VALUES
-  ('plant_0', 'North', 'River A', 'AA', 14000e0, 118.4e0, 12600e0, 0.933e0),
-  ('plant_1', 'South', 'River B', 'BB', 11233e0,  87.0e0, 13000e0, 0.926e0),
-  ('plant_2', 'East',  'River C', 'CC',  8370e0,  72.0e0, 13800e0, 0.921e0),
-  ('plant_3', 'West',  'River D', 'DD',  3750e0,  18.5e0, 14000e0, 0.912e0),
-  ('plant_4', 'Delta', 'River D', 'DD',  3568e0,  15.5e0, 16000e0, 0.908e0))
+PLANT_VALUES = ", ".join(
+    "({})".format(", ".join(f"{x}e0" if isinstance(x, float) else repr(x) for x in plant[:8]))
+    for plant in ADAPTER_PLANTS
+)
+
+PLANTS = f"""
+plants AS (SELECT * FROM (VALUES {PLANT_VALUES})
   AS p(plant_id, plant_name, river, state, installed_mw, head_m, max_flow_m3_s, base_efficiency))
 """
 
@@ -591,11 +593,12 @@ SELECT plant_id, window_start, {settled_list("power_avg_mw", "power_max_mw", "ef
 FROM kpis""",
         "documented_kpis_1h": f"""{with_kpis(60)},
 {SECONDS[len(METERED):].lstrip().removeprefix(",")}
-SELECT k.plant_id, k.window_start, anomaly_count,
+SELECT coalesce(k.plant_id, s.plant_id) AS plant_id,
+  coalesce(k.window_start, s.window_start) AS window_start, anomaly_count,
   {settled_list("energy_mwh", "critical_rate_pct", "temperature_max_c", "vibration_max_mm_s",
                 "rain_avg_mm_h", "flow_avg_m3_s")},
   coalesce(maintenance_seconds, 0e0) AS maintenance_seconds
-FROM kpis k LEFT JOIN seconds s ON k.plant_id = s.plant_id AND k.window_start = s.window_start""",
+FROM kpis k FULL JOIN seconds s ON k.plant_id = s.plant_id AND k.window_start = s.window_start""",
         "bronze_project": raw_rows,
         "stream_bronze": raw_rows,
         "parse_events": """

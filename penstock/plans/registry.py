@@ -380,7 +380,7 @@ def stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame, f"{base}/curated", f"{base}/state", by=["event_date"], trigger=NOW_AVAILABLE
     ).awaitTermination()
     stored = tables.table_scan(spark, f"{base}/curated", CURATED_TABLE)
-    return dates_as_text(stored.select(*CURATED_COLUMNS))
+    return dates_as_text(cur.dedup_events(stored).select(*CURATED_COLUMNS))
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,14 +83,10 @@ class Settings:
 
     @classmethod
     def from_env(cls, environ: Mapping[str, str] = os.environ) -> Settings:
-        """Overrides from upper-case variables; a value that does not parse leaves the default."""
+        """Overrides from upper-case variables; a value that does not parse is an error."""
         found = {}
         for field in fields(cls):
             text = environ.get(field.name.upper())
-            if text is None:
-                continue
-            try:
+            if text is not None:
                 found[field.name] = type(field.default)(text)
-            except ValueError:
-                continue
         return cls(**found)

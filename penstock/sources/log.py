@@ -12,15 +12,16 @@ def kafka_options(
     servers: str,
     topic: str,
     starting_offsets: str = "latest",
-    max_offsets: int = 5000,
-    fail_on_data_loss: bool = False,
+    max_offsets: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    return {
+    """All new records per trigger, and an error when records are lost, unless told otherwise."""
+    limit = {} if max_offsets is None else {"maxOffsetsPerTrigger": str(max_offsets)}
+    return limit | {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
-        "maxOffsetsPerTrigger": str(max_offsets),
     }
 
 
@@ -30,9 +31,11 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, **options) -> Da
     return reader.options(**kafka_options(servers, topic, **options)).load()
 
 
-def frame_source(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
+def frame_source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Log records from Parquet files, as a stream."""
-    reader = spark.readStream.schema(RAW_FRAME).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(RAW_FRAME)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
 
 

@@ -11,13 +11,14 @@ from penstock.operators.enrich import derived_metrics
 from penstock.operators.raw import keyed_json
 from penstock.settings import LIMITS, Limits
 
-PLANT_ROWS = """
-  ('plant_0', 'North', 'River A', 'AA', 14000.0D, 118.4D, 12600.0D, 0.933D, 52.0D, 1.4D, 20),
-  ('plant_1', 'South', 'River B', 'BB', 11233.0D,  87.0D, 13000.0D, 0.926D, 56.0D, 1.6D, 24),
-  ('plant_2', 'East',  'River C', 'CC',  8370.0D,  72.0D, 13800.0D, 0.921D, 58.0D, 1.8D, 25),
-  ('plant_3', 'West',  'River D', 'DD',  3750.0D,  18.5D, 14000.0D, 0.912D, 55.0D, 2.1D, 50),
-  ('plant_4', 'Delta', 'River D', 'DD',  3568.0D,  15.5D, 16000.0D, 0.908D, 55.0D, 2.3D, 50)
-"""
+# Made-up plants for the adapter; not those of the plant dimension. The SQL check formats the same list.
+ADAPTER_PLANTS = [
+    ("plant_0", "North", "River A", "AA", 900.0, 90.0, 1100.0, 0.94, 48.0, 1.1, 6),
+    ("plant_1", "South", "River B", "BB", 600.0, 64.0, 1000.0, 0.93, 51.0, 1.3, 5),
+    ("plant_2", "East", "River C", "CC", 420.0, 130.0, 350.0, 0.92, 53.0, 1.2, 4),
+    ("plant_3", "West", "River D", "DD", 280.0, 22.0, 1400.0, 0.91, 50.0, 1.7, 8),
+    ("plant_4", "Delta", "River D", "DD", 120.0, 14.0, 900.0, 0.9, 49.0, 1.9, 3),
+]
 
 
 def adapter_plants(spark: SparkSession) -> DataFrame:
@@ -25,7 +26,11 @@ def adapter_plants(spark: SparkSession) -> DataFrame:
         "plant_id, plant_name, river, state, installed_mw, head_m, max_flow_m3_s,"
         " base_efficiency, base_temp_c, base_vibration_mm_s, unit_count"
     )
-    return spark.sql(f"SELECT * FROM VALUES {PLANT_ROWS} AS p({names})")
+    rows = ", ".join(
+        "({})".format(", ".join(f"{x}D" if isinstance(x, float) else repr(x) for x in plant))
+        for plant in ADAPTER_PLANTS
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS p({names})")
 
 
 def measured(events: DataFrame) -> DataFrame:

@@ -23,8 +23,9 @@ def table_scan(
     return reader.parquet(path).select(*schema.names)
 
 
-def kpi_scan(spark: SparkSession, path: str) -> DataFrame:
-    return table_scan(spark, path, KPI_TABLE, skip_unreadable=True).dropna(subset=["window_start"])
+def kpi_scan(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
+    """KPI rows; a damaged or vanished file is an error unless asked to be skipped."""
+    return table_scan(spark, path, KPI_TABLE, skip_unreadable).dropna(subset=["window_start"])
 
 
 def text_window_bounds(kpis: DataFrame) -> DataFrame:
@@ -36,10 +37,13 @@ def text_window_bounds(kpis: DataFrame) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int = 100
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
 ) -> DataFrame:
-    """New files of a layer. The schema is declared, so the layer may still be empty."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    """New files of a layer, all of them per trigger unless `max_files` is set. The schema is
+    declared, so the layer may still be empty."""
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path).select(*schema.names)
 
 
@@ -59,18 +63,20 @@ def data_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def recent_files_scan(
-    spark: SparkSession, path: str, schema: T.StructType, n: int = 60
+    spark: SparkSession, path: str, schema: T.StructType, n: int = 60, skip_unreadable: bool = False
 ) -> DataFrame:
     """Rows of the n most recently written files; the other files are not opened.
 
-    Only the n paths come to the driver.
+    Only the n paths come to the driver. A damaged or vanished file is an error unless asked to be
+    skipped.
     """
     newest = data_files(spark, path).orderBy(F.col("modificationTime").desc(), "path").limit(n)
     paths = [row.path for row in newest.select("path").collect()]
     if not paths:
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("ignoreCorruptFiles", True)
-    reader = reader.option("ignoreMissingFiles", True)
+    reader = spark.read.schema(schema)
+    if skip_unreadable:
+        reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     if paths != [path] and not paths[0].endswith(path):
         reader = reader.option("basePath", path)  # partition values come from below it
     return reader.parquet(*paths)

@@ -64,12 +64,15 @@ def curated_job(
     checkpoint: str,
     settings: Settings = Settings(),
     limits: Limits = LIMITS,
-    dedup: bool = True,
+    dedup: bool = False,
     by: list[str] = ("event_date", "plant_id"),
     upkeep: Callable[[], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Log or raw table to curated table; a repeated event id is dropped within the watermark."""
+    """Log or raw table to curated table, every usable record however late.
+
+    Repeats are left to readers: KPI streams, rebuild_windows and dedup_events take each event once.
+    With `dedup` the stream itself drops them, and with them all that is behind the watermark."""
     rows = curated.curate(frame, limits)
     if dedup:
         rows = curated.dedup_stream(rows, settings.watermark)

@@ -110,13 +110,19 @@ def rebuild_windows(
 ) -> None:
     """KPI windows of closed days again from the curated table, late readings included.
 
-    Window widths that divide a day, as all of ours do, never reach over midnight.
+    Window widths that divide a day, as all of ours do, never reach over midnight. Days that have
+    KPIs but no readings any more cannot be rebuilt: the call is refused before anything changes.
     """
-    old = []
+    old, gone = [], []
+    sources = {n.partition("=")[2] for n in Folder(spark, curated_path).folders() if n.startswith("event_date=")}
     for name in Folder(spark, kpi_path).folders():
         value = name.partition("=")[2]
         if name.startswith("window_date=") and first.isoformat() <= value <= last.isoformat():
+            if value not in sources:
+                gone.append(value)
             old += [f"{name}/{leaf}" for leaf in Folder(spark, kpi_path).below(name).leaves(BATCH)]
+    if gone:
+        raise ValueError(f"no curated readings for {', '.join(sorted(gone))}")
     days = F.col("event_date").between(first, last)
     readings = table_scan(spark, curated_path, curated_schema).filter(days)
     windows = kpis.window_kpis(curated.dedup_events(readings), minutes)

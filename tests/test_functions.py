@@ -136,5 +136,7 @@ def test_label(spark):
 
 
 def test_settings_from_environment():
-    found = Settings.from_env({"TOPIC": "t", "MAX_OFFSETS_PER_TRIGGER": "9", "STEP_SECONDS": "x"})
+    found = Settings.from_env({"TOPIC": "t", "MAX_OFFSETS_PER_TRIGGER": "9"})
     assert (found.topic, found.max_offsets_per_trigger, found.step_seconds) == ("t", 9, 1)
+    with pytest.raises(ValueError):
+        Settings.from_env({"STEP_SECONDS": "x"})

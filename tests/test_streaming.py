@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from penstock.model import CURATED_TABLE, KPI_TABLE, RAW_FRAME
 from penstock.operators import curated, history, kpis
@@ -49,8 +50,10 @@ def test_curated_stream_equals_batch(spark, sf_dir, tmp_path):
     frame.union(again).write.parquet(f"{tmp_path}/log")
     stream = log.frame_source(spark, f"{tmp_path}/log", max_files=1)
     run(jobs.curated_job(stream, f"{tmp_path}/curated", f"{tmp_path}/state", trigger=ONCE))
-    stored = tables.table_scan(spark, f"{tmp_path}/curated", CURATED_TABLE)
+    whole = tables.table_scan(spark, f"{tmp_path}/curated", CURATED_TABLE)
     expected = curated.curate(frame)
+    assert whole.count() == 2 * expected.count()
+    stored = curated.dedup_events(whole)
     columns = [c for c in CURATED_TABLE.names if c != "kafka_offset"]
     assert stored.count() == expected.count()
     assert stored.select(columns).exceptAll(expected.select(columns)).count() == 0
@@ -58,7 +61,22 @@ def test_curated_stream_equals_batch(spark, sf_dir, tmp_path):
     stream = log.frame_source(spark, f"{tmp_path}/log", max_files=1)
     run(jobs.curated_job(stream, f"{tmp_path}/curated", f"{tmp_path}/state", trigger=ONCE))
     spark.catalog.refreshByPath(f"{tmp_path}/curated")
-    assert tables.table_scan(spark, f"{tmp_path}/curated", CURATED_TABLE).count() == expected.count()
+    assert tables.table_scan(spark, f"{tmp_path}/curated", CURATED_TABLE).count() == whole.count()
+
+
+def test_late_readings_are_stored(spark, sf_dir, tmp_path):
+    frame = src.event_frame(src.readings(spark, sf_dir))
+    thirds = frame.withColumn("third", F.ntile(3).over(Window.orderBy(F.col("timestamp").desc(), "offset")))
+    for number in (1, 2, 3):  # newest first, one file and batch each
+        part = thirds.where(F.col("third") == number).drop("third").coalesce(1)
+        part.write.mode("append").parquet(f"{tmp_path}/log")
+        stream = log.frame_source(spark, f"{tmp_path}/log", max_files=1)
+        run(jobs.curated_job(stream, f"{tmp_path}/curated", f"{tmp_path}/state", by=["event_date"], trigger=ONCE))
+    spark.catalog.refreshByPath(f"{tmp_path}/curated")
+    stored = tables.table_scan(spark, f"{tmp_path}/curated", CURATED_TABLE)
+    expected = curated.curate(frame)
+    assert stored.exceptAll(expected.select(*stored.columns)).count() == 0
+    assert stored.count() == expected.count()
 
 
 def test_repeated_batch_replaces_itself(spark, table, tmp_path):
@@ -187,9 +205,9 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "host:1",
         "subscribe": "t",
         "startingOffsets": "latest",
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "5000",
+        "failOnDataLoss": "true",
     }
+    assert log.kafka_options("host:1", "t", max_offsets=9)["maxOffsetsPerTrigger"] == "9"
     assert log.sink_options("host:1", "t")["kafka.acks"] == "all"
 
 

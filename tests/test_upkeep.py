@@ -162,7 +162,9 @@ def test_recent_files_and_census(spark, table, tmp_path):
     (tmp_path / "t" / "day=09" / "broken.parquet").write_text("not a table")
     os.utime(tmp_path / "t" / "day=09" / "broken.parquet", (1_800_000_000, 1_800_000_000))
     schema = "event_id string, day string"
-    newest = tables.recent_files_scan(spark, path, schema, 3)
+    with pytest.raises(Exception, match="(?i)parquet"):
+        tables.recent_files_scan(spark, path, schema, 3).collect()
+    newest = tables.recent_files_scan(spark, path, schema, 3, skip_unreadable=True)
     assert sorted({r.day for r in newest.collect()}) == ["02", "03"]  # text, as declared
     assert newest.count() == 3 + 4
     assert tables.data_files(spark, path).count() == 5
@@ -179,3 +181,16 @@ def test_text_bounds(spark):
     )
     (row,) = tables.text_window_bounds(rows).collect()
     assert row.window_end - row.window_start == timedelta(minutes=5)
+
+
+def test_days_without_readings_are_not_rebuilt(spark, table, tmp_path):
+    curated_path, kpi_path = f"{tmp_path}/curated", f"{tmp_path}/kpis"
+    windows = kpis.window_kpis(table, 60).withColumn("window_date", F.to_date("window_start"))
+    write_batch(windows, 0, kpi_path, ["window_date"], "plant_id")
+    newest = table.agg(F.max("event_date")).first()[0]
+    write_batch(table.where(F.col("event_date") == newest), 0, curated_path, ["event_date", "plant_id"], "event_id")
+    with pytest.raises(ValueError):
+        rewrite.rebuild_windows(
+            spark, curated_path, CURATED_TABLE, kpi_path, 60, date(1970, 1, 1), date(9999, 12, 31)
+        )
+    assert tables.kpi_scan(spark, kpi_path).count() == windows.count()
