@@ -238,6 +238,8 @@ def search(
     worst = known.groupBy("group").agg(F.min("floor").alias("worst"), F.first("cell").alias("own"))
     askers = _balls(known, "group").join(worst, "group").select("group", "worst", "own", F.col("centre").alias("q"), F.col("radius").alias("qr"))
     homes = _balls(data.select("block", "cell", "v"), "block", "cell").select("block", "cell", F.col("centre").alias("d"), F.col("radius").alias("dr"))
+    # Written before they meet: a theta join would work out one side anew for each partition of the other.
+    askers, homes = common.stored(askers, "askers"), common.stored(homes, "homes")
     norms = [F.sqrt(_dot(F.col(c), F.col(c))) for c in ("q", "d")]
     top = _dot(F.col("q"), F.col("d")) + F.col("qr") * norms[1] + F.col("dr") * norms[0] + F.col("qr") * F.col("dr")
     # The stated queries against all rows, in blocks: groups and blocks, not vectors, are paired.
