@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,8 @@ PIVOTS = 32
 BLOCK_ROWS = 4096
 # Queries that one task holds beside a block.
 GROUP_ROWS = 256
-LEAF = 128
+LEAF = 512
+QUERY_LEAF = 128
 FAN = 16
 NONE = (1 << 63) - 1
 
@@ -43,7 +44,7 @@ class Node:
     members: np.ndarray
     children: list[Node] = field(default_factory=list)
 
-    @property
+    @cached_property
     def norm(self) -> float:
         return float(np.sqrt(self.centre @ self.centre))
 
@@ -81,12 +82,20 @@ class Best:
         return float(np.maximum(self.scores[queries, -1], self.floors[queries]).min())
 
     def add(self, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        wanted = (scores >= self.floors[queries][:, None]) & (ids[None, :] != self.ids[queries][:, None])
+        last, floors = self.scores[queries, -1][:, None], self.floors[queries][:, None]
+        earlier = ids[None, :] < self.found[queries, -1][:, None]
+        wanted = (scores > last) | ((scores == last) & earlier)
+        wanted &= (scores >= floors) & (ids[None, :] != self.ids[queries][:, None])
+        rows, columns = wanted.any(axis=1), wanted.any(axis=0)
+        if not rows.any():
+            return
+        queries, ids = queries[rows], ids[columns]
+        scores, wanted = scores[rows][:, columns], wanted[rows][:, columns]
         scores = np.where(wanted, scores, -np.inf)
         if scores.shape[1] > 4 * self.k:
             # What is below the k-th score of its row cannot come in; ties with it can.
             kth = -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1]
-            some = (scores >= np.maximum(kth, self.scores[queries, -1])[:, None]).any(axis=0)
+            some = (wanted & (scores >= kth[:, None])).any(axis=0)
             scores, ids, wanted = scores[:, some], ids[some], wanted[:, some]
         every = np.concatenate([self.scores[queries], scores], axis=1)
         found = np.concatenate([self.found[queries], np.where(wanted, ids[None, :], NONE)], axis=1)
@@ -103,7 +112,7 @@ def reach(a: Node, b: Node) -> float:
 
 def walk(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, best: Best) -> None:
     """All of `data` against all of `queries`, by their trees."""
-    stack = [(cover_tree(queries, np.arange(len(queries)), 32), [cover_tree(data, np.arange(len(data)))])]
+    stack = [(cover_tree(queries, np.arange(len(queries)), QUERY_LEAF), [cover_tree(data, np.arange(len(data)))])]
     while stack:
         mine, others = stack.pop()
         others = sorted(((reach(mine, o), i, o) for i, o in enumerate(others)), reverse=True, key=lambda x: x[:2])
