@@ -69,7 +69,7 @@ def test_merged_parts_equal_one_pass(curated, minutes):
 
 
 def test_equal_readings_have_no_spread(curated):
-    row = curated.filter("power_mw > 5000").limit(1).withColumn("event_ts", F.lit(START))
+    row = curated.limit(1).withColumn("power_mw", F.lit(5678.91)).withColumn("event_ts", F.lit(START))
     again = row.withColumn("event_ts", F.lit(START + timedelta(minutes=30)))
     merged = kpis.merge_kpis(kpis.partial_kpis(row.union(again).union(again), 5), 60)
     assert merged.first().power_stddev_mw == 0.0
