@@ -142,7 +142,17 @@ def _split_forest(values: np.ndarray, radius: int, seed: int) -> tuple[np.ndarra
     return np.concatenate(left), np.concatenate(right)
 
 
-def _link_batches(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+def _forests(values: np.ndarray, radius: int, twice: bool) -> tuple[np.ndarray, np.ndarray]:
+    """As _forest; twice: also the forest that grows from the other end, so that each value meets
+    two others where it can."""
+    a, b = _forest(values, radius)
+    if twice and len(values) > 2:
+        c, d = _forest(values[::-1].copy(), radius)
+        a, b = np.concatenate([a, len(values) - 1 - c]), np.concatenate([b, len(values) - 1 - d])
+    return a, b
+
+
+def _link_batches(batches: Iterator[pa.RecordBatch], radius: int, twice: bool) -> Iterator[pa.RecordBatch]:
     """Links from rows sorted by (mask_no, key); a run may go on over any number of batches."""
     held: list[tuple[np.ndarray, ...]] = []
 
@@ -154,7 +164,7 @@ def _link_batches(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
         near = pairs[np.bitwise_count(values[pairs] ^ values[pairs + 1]) <= radius]
         left, right = [nodes[near]], [nodes[near + 1]]
         for start, size in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
-            a, b = _forest(values[start : start + size], radius)
+            a, b = _forests(values[start : start + size], radius, twice)
             left.append(nodes[start + a])
             right.append(nodes[start + b])
         a, b = np.concatenate(left), np.concatenate(right)
@@ -184,9 +194,12 @@ def _link_batches(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
         yield finished(rows, np.array([len(rows[0])]))
 
 
-def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
+def links(nodes: DataFrame, radius: int = 3, within: int | None = None, twice: bool = False) -> DataFrame:
     """Links (u > v) between `node`s (long) whose fingerprints, table by table of `prints`, differ
-    in at most `radius` bits; of the links among nodes that meet, a spanning forest."""
+    in at most `radius` bits; of the links among nodes that meet, a spanning forest.
+
+    within: nodes that meet are also linked up to that many bits, though not all such meet. twice:
+    two forests, for links that are candidates only and may fail a later check."""
     masks = covering_masks(radius)
 
     def rows(value: Column, table: Column) -> Column:
@@ -205,7 +218,7 @@ def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
     keyed = each.select("node", F.inline(rows(F.col("value"), F.col("table"))))
     met = keyed.repartition("mask_no", "key").sortWithinPartitions("mask_no", "key", "value", "node")
     found = met.select("mask_no", "key", "value", "node").mapInArrow(
-        partial(_link_batches, radius=radius), "u bigint, v bigint"
+        partial(_link_batches, radius=within or radius, twice=twice), "u bigint, v bigint"
     )
     return found.where("u != v").distinct()
 
@@ -289,6 +302,7 @@ def deduplicated(
     docs: DataFrame,
     tables: int = 8,
     radius: int = 3,
+    within: int = 4,
     size: int = 5,
     least: float = 0.8,
 ) -> DataFrame:
@@ -297,8 +311,9 @@ def deduplicated(
     Candidates: `tables` independent fingerprints over a text's distinct words, each searched with
     covering masks. Over shingles of five words, texts with a Jaccard index of 0.8 differ in about
     10 of 64 bits, far beyond any radius that masks can cover; over words they differ in about 4,
-    so eight fingerprints within radius 3 find nearly all of them. A candidate becomes a link if
-    its sets of `size`-word shingles have a Jaccard index of at least `least`.
+    so eight fingerprints within radius 3, and `within` 4 bits where they meet, find nearly all of
+    them. A candidate becomes a link if its sets of `size`-word shingles have a Jaccard index of at
+    least `least`. As candidates can fail, two forests of them are looked at.
 
     Rows without doc_id cannot be named and are all kept; rows that share a doc_id stay or go
     together. Null texts and texts without a word are copies of each other."""
@@ -313,7 +328,7 @@ def deduplicated(
         printed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("prints").alias("prints")),
         "single",
     )
-    near = common.stored(links(single.select("node", "prints"), radius), "near")
+    near = common.stored(links(single.select("node", "prints"), radius, within, twice=True), "near")
     sure = similar(keyed.withColumnRenamed("doc_id", "node"), near, size, least)
     rooted = components(sure)
     copies = printed.join(single.select("digest", "node"), "digest").where("doc_id != node")

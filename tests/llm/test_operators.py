@@ -292,6 +292,14 @@ def test_links_over_many_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_two_forests_reach_a_candidate_past_a_failed_one(spark):
+    """Of three values that all meet, the first forest looks at two pairs only; the second has the third."""
+    values = [0b111, 0b1011, 0b10011]
+    frame = spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "node long, prints array<long>")
+    assert simhash.links(frame).count() == 2
+    assert {tuple(r) for r in simhash.links(frame, twice=True).collect()} == {(1, 0), (2, 0), (2, 1)}
+
+
 def test_simhash_awkward(awkward, empty):
     rows = simhash.classes(awkward).collect()
     assert len(rows) == 11
@@ -319,6 +327,16 @@ def test_near_copies_go(spark):
 # 6: sharding
 
 
+def test_running_starts(spark):
+    rng = random.Random(8)
+    rows = [(k, i, rng.randint(0, 9)) for k in (1, 2) for i in rng.sample(range(100), 40)]
+    frame = spark.createDataFrame(rows, "k int, at long, n long")
+    found = {(r["k"], r["at"]): r["before"] for r in common.starts(frame, ["k"], "at", span=8).collect()}
+    assert found == {(k, i): sum(n for q, j, n in rows if q == k and j < i) for k, i, _ in rows}
+    assert common.starts(frame.where("k = 1"), [], "at", span=8).count() == 40
+
+
+
 def test_shards(spark, sf_dir, docs):
     rows = queries.op6_sharding(spark, sf_dir).collect()
     text = dict(docs)
