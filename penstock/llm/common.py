@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from penstock.session import scratch_path
 
 # A word: a run of characters other than space, tab, newline, vertical tab, form feed, return.
 # `bytes.split()` cuts at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
+# Numbers that one window of a running sum holds.
+SPAN = 4096
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,3 +38,17 @@ def n_words(text: Column) -> Column:
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo `divisor`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % divisor
+
+
+def starts(counts: DataFrame, keys: list[str], order: str, span: int = SPAN) -> DataFrame:
+    """`keys`, `order` and `before`: the sum of `n` over the rows of the same keys with a smaller
+    `order`, a whole number from 0 that occurs once for each key; keys are not null.
+
+    Sums of spans of `span` numbers come first, so no window holds all of a key's rows."""
+    cut = counts.withColumn("span", F.expr(f"`{order}` div {span}"))
+    along = Window.partitionBy(*keys).orderBy("span")
+    inside = Window.partitionBy(*keys, "span").orderBy(order)
+    spans = cut.groupBy(*keys, "span").agg(F.sum("n").alias("whole"))
+    spans = spans.select(*keys, "span", (F.sum("whole").over(along) - F.col("whole")).alias("earlier"))
+    own = cut.withColumn("own", F.sum("n").over(inside) - F.col("n"))
+    return own.join(spans, [*keys, "span"]).select(*keys, order, (F.col("earlier") + F.col("own")).alias("before"))

@@ -219,13 +219,7 @@ def ranked(sized: DataFrame, counts: dict[int, int]) -> DataFrame:
     keyed = sized.withColumn(
         "bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(1 + most // BUCKET_ROWS))
     )
-    along = Window.partitionBy("length").orderBy("bucket")
-    starts = (
-        keyed.groupBy("length", "bucket")
-        .agg(F.count("*").alias("n"))
-        .withColumn("before", F.sum("n").over(along) - F.col("n"))
-        .drop("n")
-    )
+    starts = common.starts(keyed.groupBy("length", "bucket").agg(F.count("*").alias("n")), ["length"], "bucket")
     inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")
     numbered = keyed.withColumn("place", F.row_number().over(inside) - 1)
     return numbered.join(starts, ["length", "bucket"]).select(

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from penstock.llm import common
 
 SEED = 42
 BUCKET_BYTES = 8 << 20
@@ -33,8 +34,7 @@ def shuffled(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, seed: int = SEED
     scattered = docs.select(F.struct("*").alias("row"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("order"))
     scattered = scattered.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "order"), F.lit(n_buckets)))
     sizes = scattered.groupBy("bucket").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.orderBy("bucket")) - F.col("n")
-    starts = sizes.select("bucket", before.alias("before"))
+    starts = common.starts(sizes, [], "bucket")
     # In the order of their hashes records come into the array alike at every attempt of a task.
     met = scattered.repartition("bucket").sortWithinPartitions("bucket", "order")
     filled = met.groupBy("bucket").agg(F.collect_list("row").alias("rows"))
