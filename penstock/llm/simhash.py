@@ -27,6 +27,10 @@ from penstock.llm import common
 
 SEED = 42
 DIRECT = 2048
+# Runs of which all pairs of different labels are looked at.
+SHORT = 8
+# Beyond any distance.
+DONE = 65
 
 
 def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
@@ -142,29 +146,60 @@ def _split_forest(values: np.ndarray, radius: int, seed: int) -> tuple[np.ndarra
     return np.concatenate(left), np.concatenate(right)
 
 
-def _forests(values: np.ndarray, radius: int, twice: bool) -> tuple[np.ndarray, np.ndarray]:
-    """As _forest; twice: also the forest that grows from the other end, so that each value meets
-    two others where it can."""
-    a, b = _forest(values, radius)
-    if twice and len(values) > 2:
-        c, d = _forest(values[::-1].copy(), radius)
-        a, b = np.concatenate([a, len(values) - 1 - c]), np.concatenate([b, len(values) - 1 - d])
-    return a, b
+def _tree(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """As _forest, with the shortest links. Fewer pairs differ from table to table, as each value
+    is tied to its nearest."""
+    if len(values) > DIRECT:
+        return _split_forest(values, radius, SEED)
+    away = np.bitwise_count(values ^ values[0]).astype(np.int64)
+    parent, left, right = np.zeros(len(values), dtype=np.int64), [], []
+    away[0] = DONE
+    for _ in range(len(values) - 1):
+        at = int(away.argmin())
+        if away[at] <= radius:
+            left.append(at)
+            right.append(parent[at])
+        away[at] = DONE
+        gap = np.bitwise_count(values ^ values[at])
+        closer = (gap < away) & (away < DONE)
+        away[closer], parent[closer] = gap[closer], at
+    return np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
+
 
+def _across(values: np.ndarray, labels: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different labels: all of a short run, of a longer one those in the shortest forest
+    that grows from its end."""
+    if len(values) <= SHORT:
+        a, b = np.triu_indices(len(values), 1)
+        near = np.bitwise_count(values[a] ^ values[b]) <= radius
+        a, b = a[near], b[near]
+    else:
+        a, b = (len(values) - 1 - x for x in _tree(values[::-1].copy(), radius))
+    other = labels[a] != labels[b]
+    return a[other], b[other]
 
-def _link_batches(batches: Iterator[pa.RecordBatch], radius: int, twice: bool) -> Iterator[pa.RecordBatch]:
-    """Links from rows sorted by (mask_no, key); a run may go on over any number of batches."""
+
+def _link_batches(batches: Iterator[pa.RecordBatch], radius: int, shortest: bool) -> Iterator[pa.RecordBatch]:
+    """Links from rows sorted by (mask_no, key); a run may go on over any number of batches. Rows
+    with a label are linked across labels only."""
     held: list[tuple[np.ndarray, ...]] = []
 
+    def run(values: np.ndarray, labels: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        if labels is not None:
+            return _across(values, labels, radius)
+        return _tree(values, radius) if shortest else _forest(values, radius)
+
     def finished(rows: tuple[np.ndarray, ...], edges: np.ndarray) -> pa.RecordBatch | None:
-        _, _, values, nodes = rows
+        _, _, values, nodes, *labels = rows
         starts = np.concatenate(([0], edges[:-1])) if len(edges) else np.array([], dtype=np.int64)
         sizes = edges - starts
         pairs = starts[sizes == 2]
         near = pairs[np.bitwise_count(values[pairs] ^ values[pairs + 1]) <= radius]
+        if labels:
+            near = near[labels[0][near] != labels[0][near + 1]]
         left, right = [nodes[near]], [nodes[near + 1]]
         for start, size in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
-            a, b = _forests(values[start : start + size], radius, twice)
+            a, b = run(values[start : start + size], labels[0][start : start + size] if labels else None)
             left.append(nodes[start + a])
             right.append(nodes[start + b])
         a, b = np.concatenate(left), np.concatenate(right)
@@ -176,6 +211,7 @@ def _link_batches(batches: Iterator[pa.RecordBatch], radius: int, twice: bool) -
             batch.column("key").to_numpy(),
             batch.column("value").to_numpy().view(np.uint64),
             batch.column("node").to_numpy(),
+            *(batch.column(c).to_numpy() for c in batch.schema.names[4:]),
         )
         if not len(new[0]):
             continue
@@ -194,13 +230,15 @@ def _link_batches(batches: Iterator[pa.RecordBatch], radius: int, twice: bool) -
         yield finished(rows, np.array([len(rows[0])]))
 
 
-def links(nodes: DataFrame, radius: int = 3, within: int | None = None, twice: bool = False) -> DataFrame:
+def links(nodes: DataFrame, radius: int = 3, within: int | None = None, shortest: bool = False) -> DataFrame:
     """Links (u > v) between `node`s (long) whose fingerprints, table by table of `prints`, differ
-    in at most `radius` bits; of the links among nodes that meet, a spanning forest.
+    in at most `radius` bits; of the links among nodes that meet, a spanning forest, with the
+    `shortest` links if asked for.
 
-    within: nodes that meet are also linked up to that many bits, though not all such meet. twice:
-    two forests, for links that are candidates only and may fail a later check."""
+    within: nodes that meet are also linked up to that many bits, though not all such meet. If
+    `nodes` have a `label`, links join different labels only, and there may be more than a forest."""
     masks = covering_masks(radius)
+    carried = [c for c in ("label",) if c in nodes.columns]
 
     def rows(value: Column, table: Column) -> Column:
         return F.array(
@@ -214,11 +252,11 @@ def links(nodes: DataFrame, radius: int = 3, within: int | None = None, twice: b
             ]
         )
 
-    each = nodes.select("node", F.posexplode("prints").alias("table", "value"))
-    keyed = each.select("node", F.inline(rows(F.col("value"), F.col("table"))))
+    each = nodes.select("node", *carried, F.posexplode("prints").alias("table", "value"))
+    keyed = each.select("node", *carried, F.inline(rows(F.col("value"), F.col("table"))))
     met = keyed.repartition("mask_no", "key").sortWithinPartitions("mask_no", "key", "value", "node")
-    found = met.select("mask_no", "key", "value", "node").mapInArrow(
-        partial(_link_batches, radius=within or radius, twice=twice), "u bigint, v bigint"
+    found = met.select("mask_no", "key", "value", "node", *carried).mapInArrow(
+        partial(_link_batches, radius=within or radius, shortest=shortest), "u bigint, v bigint"
     )
     return found.where("u != v").distinct()
 
@@ -313,7 +351,8 @@ def deduplicated(
     10 of 64 bits, far beyond any radius that masks can cover; over words they differ in about 4,
     so eight fingerprints within radius 3, and `within` 4 bits where they meet, find nearly all of
     them. A candidate becomes a link if its sets of `size`-word shingles have a Jaccard index of at
-    least `least`. As candidates can fail, two forests of them are looked at.
+    least `least`. First come the shortest candidates that span what meets. As some fail, those that
+    have candidates meet again, and are tried across the groups found so far.
 
     Rows without doc_id cannot be named and are all kept; rows that share a doc_id stay or go
     together. Null texts and texts without a word are copies of each other."""
@@ -328,9 +367,14 @@ def deduplicated(
         printed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("prints").alias("prints")),
         "single",
     )
-    near = common.stored(links(single.select("node", "prints"), radius, within, twice=True), "near")
-    sure = similar(keyed.withColumnRenamed("doc_id", "node"), near, size, least)
-    rooted = components(sure)
+    texts = keyed.withColumnRenamed("doc_id", "node")
+    near = common.stored(links(single.select("node", "prints"), radius, within, shortest=True), "near")
+    sure = common.stored(similar(texts, near, size, least), "sure")
+    some = near.select(F.col("u").alias("node")).union(near.select("v")).distinct()
+    open_ = single.join(some, "node", "left_semi").join(components(sure), "node", "left")
+    open_ = open_.select("node", "prints", F.coalesce("root", "node").alias("label"))
+    across = common.stored(links(open_, radius, within).join(near, ["u", "v"], "left_anti"), "across")
+    rooted = components(sure.union(similar(texts, across, size, least)))
     copies = printed.join(single.select("digest", "node"), "digest").where("doc_id != node")
     gone = copies.select("doc_id").union(rooted.select("node")).distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

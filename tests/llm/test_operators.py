@@ -292,12 +292,26 @@ def test_links_over_many_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
-def test_two_forests_reach_a_candidate_past_a_failed_one(spark):
-    """Of three values that all meet, the first forest looks at two pairs only; the second has the third."""
-    values = [0b111, 0b1011, 0b10011]
-    frame = spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "node long, prints array<long>")
-    assert simhash.links(frame).count() == 2
-    assert {tuple(r) for r in simhash.links(frame, twice=True).collect()} == {(1, 0), (2, 0), (2, 1)}
+def test_trees_and_links_across_labels(spark, monkeypatch):
+    rng = random.Random(9)
+    values = [7 ^ sum(1 << b for b in rng.sample(range(64), 2)) for _ in range(60)]
+    a, b = simhash._tree(np.array(values, dtype=np.uint64), 3)
+    assert len(a) == len(values) - len(set(connected(values, 3)))
+    assert all((values[i] ^ values[j]).bit_count() <= 3 for i, j in zip(a, b))
+
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    rows = [(i, [v], i % 2) for i, v in enumerate(signed)]
+    frame = spark.createDataFrame(rows, "node long, prints array<long>, label long")
+    wanted = {
+        (j, i)
+        for i, j in itertools.combinations(range(60), 2)
+        if i % 2 != j % 2 and (values[i] ^ values[j]).bit_count() <= 3
+    }
+    found = {tuple(r) for r in simhash.links(frame).collect()}
+    assert found <= wanted and found
+    monkeypatch.setattr(simhash, "SHORT", 60)
+    a, b = simhash._across(np.array(values, dtype=np.uint64), np.arange(60) % 2, 3)
+    assert {(max(p), min(p)) for p in zip(a.tolist(), b.tolist())} == wanted
 
 
 def test_simhash_awkward(awkward, empty):
