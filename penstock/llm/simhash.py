@@ -13,6 +13,7 @@ direct comparison are covered again on their own, which halves the free bits eac
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 from functools import partial
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penstock.llm import common
+from penstock.session import small_side
 
 SEED = 42
 DIRECT = 2048
@@ -31,6 +33,12 @@ DIRECT = 2048
 SHORT = 8
 # Beyond any distance.
 DONE = 65
+# Texts sampled for frequent shingles, in how many of them one is frequent, and how many are listed.
+SAMPLED = 4000
+OFTEN = 8
+LISTED = 100_000
+# Rounds of centres before all pairs left are tried.
+ROUNDS = 5
 
 
 def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
@@ -313,7 +321,7 @@ def classes(docs: DataFrame, radius: int = 3) -> DataFrame:
 
 def similar(texts: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFrame:
     """The `pairs` (u, v) whose sets of shingles of `size` words have at least that Jaccard index."""
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    wanted = small_side(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct())
     parts = common.words(F.lower(F.coalesce("text", F.lit(""))))
     sets = (
         texts.join(wanted, "node", "left_semi")
@@ -336,45 +344,131 @@ def similar(texts: DataFrame, pairs: DataFrame, size: int, least: float) -> Data
     return both.where(shared >= least * (F.size("a") + F.size("b") - shared)).select("u", "v")
 
 
-def deduplicated(
-    docs: DataFrame,
-    tables: int = 8,
-    radius: int = 3,
-    within: int = 4,
-    size: int = 5,
-    least: float = 0.8,
-) -> DataFrame:
+def _sets(raw: bytes, size: int) -> np.ndarray:
+    """Distinct hashes of the shingles that `similar` compares; `raw` is in lower case."""
+    words = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), raw.split()), dtype=np.uint64)
+    n = min(size, len(words))
+    many = max(1, len(words) - size + 1)
+    whole = np.full(many, n, dtype=np.uint64)
+    for j in range(n):
+        whole = _mixed(whole + words[j : j + many], j + 1)
+    return np.unique(whole)
+
+
+def _prefix_batches(
+    batches: Iterator[pa.RecordBatch], size: int, least: float | None, hot: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Rows (token, node, n): of each text's `n` shingles, in one order of all shingles, as many of the first
+    as any set with a Jaccard index of `least` must share one of; all without `least`."""
+    kind = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
+    for batch in batches:
+        tokens, nodes, sizes, held = [], [], [], 0
+        for node, raw in zip(batch.column("node").to_pylist(), batch.column("raw").to_pylist(), strict=True):
+            own = _sets(raw, size)
+            n = len(own)
+            if least is not None:
+                last = np.isin(own, hot, assume_unique=True)
+                own = np.concatenate((own[~last], own[last]))[: n - math.ceil(least * n - 1e-9) + 1]
+            tokens.append(own.view(np.int64))
+            nodes.append(np.full(len(own), node, dtype=np.int64))
+            sizes.append(np.full(len(own), n, dtype=np.int32))
+            held += len(own)
+            if held >= 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, nodes, sizes)], schema=kind)
+                tokens, nodes, sizes, held = [], [], [], 0
+        if tokens:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, nodes, sizes)], schema=kind)
+
+
+def prefixes(texts: DataFrame, size: int, least: float) -> DataFrame:
+    """(`token`, `node`, `n`): the prefix of each text's set of shingles, of what several texts have.
+
+    Two sets with a Jaccard index of `least` share a token of their prefixes, whatever the order. Shingles
+    that are frequent in a sample come last in it; the sample decides the cost only."""
+    raw = texts.select("node", F.lower(F.coalesce("text", F.lit(""))).cast("binary").alias("raw"))
+
+    def tokens(frame: DataFrame, least: float | None, hot: np.ndarray) -> DataFrame:
+        return frame.mapInArrow(
+            partial(_prefix_batches, size=size, least=least, hot=hot), "token bigint, node bigint, n int"
+        )
+
+    every = max(1, texts.count() // SAMPLED)
+    some = tokens(raw.where(F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(every)) == 0), None, np.array([], dtype=np.uint64))
+    often = some.groupBy("token").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "token").limit(LISTED)
+    hot = np.array([r["token"] for r in often.collect()], dtype=np.int64).view(np.uint64)
+    found = common.stored(tokens(raw, least, hot), "prefixes")
+    several = found.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
+    return common.stored(found.join(several, "token").distinct(), "shared")
+
+
+def near_copies(texts: DataFrame, size: int, least: float) -> DataFrame:
+    """(`node`, `root`) as of components() for the links between all texts whose sets of shingles have a Jaccard
+    index of at least `least`; none is missed.
+
+    First each text is tried with the one centre it shares most tokens with, round after round while the pairs
+    left are many; every pair found is held against the index before groups are made. Then all pairs of texts
+    that share a token and lie in different groups are tried. Only pairs within one group are left out."""
+    shared = prefixes(texts, size, least)
+    rows = shared.count()
+    sure, tried = None, None
+    labelled = shared.withColumn("label", F.col("node"))
+    for turn in range(ROUNDS):
+        centre = labelled.groupBy("token").agg(
+            F.min_by(F.struct("node", "n", "label"), F.struct(F.xxhash64(F.lit(turn), "node"), "node")).alias("c")
+        )
+        apart = F.least("n", "c.n") >= least * F.greatest("n", "c.n") - 1e-6
+        met = labelled.join(centre, "token").where((F.col("label") != F.col("c.label")) & apart)
+        met = met.groupBy("node", F.col("c.node").alias("centre")).agg(F.count("*").alias("met"))
+        if tried is not None:
+            met = met.join(_both_ways(tried, "node", "centre"), ["node", "centre"], "left_anti")
+        best = met.groupBy("node").agg(F.max_by("centre", F.struct("met", "centre")).alias("centre"))
+        pairs = best.select(F.greatest("node", "centre").alias("u"), F.least("node", "centre").alias("v")).distinct()
+        pairs = common.stored(pairs, "tried")
+        linked = common.stored(similar(texts, pairs, size, least), "linked")
+        tried = pairs if tried is None else tried.union(pairs)
+        sure = linked if sure is None else sure.union(linked)
+        labelled = shared.join(components(sure), "node", "left")
+        labelled = common.stored(labelled.select("token", "node", "n", F.coalesce("root", "node").alias("label")), "labelled")
+        counts = labelled.groupBy("token", "label").agg(F.count("*").alias("m"))
+        counts = counts.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("inside"))
+        mixed = common.stored(counts.where("m * m > inside"), "mixed")
+        labelled = common.stored(labelled.join(mixed.select("token"), "token"), "open")
+        if (mixed.agg(F.sum(F.expr("(m * m - inside) div 2"))).first()[0] or 0) <= rows:
+            break
+    a, b = labelled.alias("a"), labelled.alias("b")
+    apart = F.least("a.n", "b.n") >= least * F.greatest("a.n", "b.n") - 1e-6
+    both = a.join(b, F.col("a.token") == F.col("b.token")).where(
+        (F.col("a.node") > F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & apart
+    )
+    sizes = F.col("a.n").alias("a"), F.col("b.n").alias("b")
+    met = both.groupBy(F.col("a.node").alias("u"), F.col("b.node").alias("v"), *sizes).agg(F.count("*").alias("met"))
+    # Shared tokens lie in both prefixes or behind the one that ends first.
+    rest = F.greatest(*[F.ceil(F.col(c) * least - 1e-9) - 1 for c in "ab"])
+    hopeful = met.where(F.col("met") + rest >= (F.col("a") + F.col("b")) * (least / (1 + least)) - 1e-6)
+    across = common.stored(hopeful.select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "across")
+    return components(sure.union(similar(texts, across, size, least)))
+
+
+def _both_ways(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    return pairs.select(F.col("u").alias(left), F.col("v").alias(right)).union(pairs.select("v", "u"))
+
+
+def deduplicated(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """One document of each group of copies and near copies, the one with the smallest doc_id.
 
-    Candidates: `tables` independent fingerprints over a text's distinct words, each searched with
-    covering masks. Over shingles of five words, texts with a Jaccard index of 0.8 differ in about
-    10 of 64 bits, far beyond any radius that masks can cover; over words they differ in about 4,
-    so eight fingerprints within radius 3, and `within` 4 bits where they meet, find nearly all of
-    them. A candidate becomes a link if its sets of `size`-word shingles have a Jaccard index of at
-    least `least`. First come the shortest candidates that span what meets. As some fail, those that
-    have candidates meet again, and are tried across the groups found so far.
+    Near copies are texts whose sets of `size`-word shingles have a Jaccard index of at least `least`, and
+    what chains of them connect. All such pairs are found, short texts included: candidates share a shingle
+    of their prefixes, which no such pair can avoid, and only pairs held against the index make a group.
 
     Rows without doc_id cannot be named and are all kept; rows that share a doc_id stay or go
     together. Null texts and texts without a word are copies of each other."""
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
-    printed = common.stored(
-        fingerprints(
-            keyed.select("doc_id", F.unhex(F.md5("text")).alias("digest"), "text"), 1, tables, True
-        ),
-        "prints",
-    )
-    single = common.stored(
-        printed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("prints").alias("prints")),
-        "single",
+    keyed = docs.where("doc_id is not null").select(
+        F.col("doc_id").alias("node"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"), "text"
     )
-    texts = keyed.withColumnRenamed("doc_id", "node")
-    near = common.stored(links(single.select("node", "prints"), radius, within, shortest=True), "near")
-    sure = common.stored(similar(texts, near, size, least), "sure")
-    some = near.select(F.col("u").alias("node")).union(near.select("v")).distinct()
-    open_ = single.join(some, "node", "left_semi").join(components(sure), "node", "left")
-    open_ = open_.select("node", "prints", F.coalesce("root", "node").alias("label"))
-    across = common.stored(links(open_, radius, within).join(near, ["u", "v"], "left_anti"), "across")
-    rooted = components(sure.union(similar(texts, across, size, least)))
-    copies = printed.join(single.select("digest", "node"), "digest").where("doc_id != node")
-    gone = copies.select("doc_id").union(rooted.select("node")).distinct()
+    printed = common.stored(keyed.select("node", "digest").distinct(), "prints")
+    single = printed.groupBy("digest").agg(F.min("node").alias("first"))
+    copies = small_side(printed.join(single, "digest").where("node != first").select("node", "digest"))
+    texts = keyed.join(copies, ["node", "digest"], "left_anti").select("node", "text")
+    rooted = near_copies(texts, size, least)
+    gone = copies.select("node").union(rooted.select("node")).distinct().withColumnRenamed("node", "doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

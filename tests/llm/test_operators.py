@@ -338,6 +338,50 @@ def test_near_copies_go(spark):
     assert {2 * i for i in range(40)} <= left and len(left) <= 42
 
 
+def shingle_set(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_near_copies_of_each_length_against_brute_force(spark):
+    rng = random.Random(11)
+    rows = []
+    for length in (5, 10, 15, 20, 50, 100, 300):
+        for _ in range(30):
+            words = [f"{rng.choice('abcdefgh')}{rng.randint(0, 3000)}" for _ in range(length)]
+            rows.append(words)
+            for changes in (1, 1, 2, 3, max(1, length // 60)):
+                other = list(words)
+                for _ in range(changes):
+                    other[rng.choice((0, -1, rng.randrange(length)))] = f"n{rng.randint(0, 9999)}"
+                rows.append(other)
+    # One text with many copies that are no near copies of each other, and a passage of most texts.
+    base = [f"b{i}" for i in range(120)]
+    for i in range(60):
+        rows.append([*base[:-12], *(f"c{i}x{j}" for j in range(12))] if i else base)
+    rows = [[*w, *(f"usual{j}" for j in range(9))] if i % 3 == 0 else w for i, w in enumerate(rows)]
+    rng.shuffle(rows)
+    texts = [" ".join(w) for w in rows]
+    sets = [shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        shared = len(sets[i] & sets[j])
+        if 5 * shared >= 4 * (len(sets[i]) + len(sets[j]) - shared):
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    wanted = {i for i in range(len(texts)) if find(i) == i}
+    lost = {len(w) for i, w in enumerate(rows) if i not in wanted}
+    assert min(lost) < 20 and max(lost) >= 300
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.deduplicated(frame).collect()} == wanted
+
+
 # 6: sharding
 
 
