@@ -3,13 +3,16 @@
 Every run of `span` consecutive sentences is hashed and joined with all others. A run that occurred
 before, in a document with a smaller id or earlier in the same document, is a repeat, and all
 sentences that a repeat covers are removed. What a text is cut into: after '.', '!' or '?' with one
-blank character, and after a newline. Sentences are compared without outer blanks, with inner blanks
+blank character, and after a newline. A sentence of more than WHOLE words is cut again, before pairs of
+words whose hash is the least among those NEAR places before and after, so that a passage is cut alike in
+any text; its parts count as sentences. Sentences are compared without outer blanks, with inner blanks
 as one space and A-Z in lower case; pieces without a word belong to no run and stay.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -22,16 +25,43 @@ from penstock.llm import common
 
 # Fixed in the SQL check too.
 CUT = re.compile(rb"[.!?][ \t\r\n]|\n")
+SPOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
+# Words of the longest sentence that is not cut, and of the longest part of one.
+WHOLE = 16
+PART = 32
+NEAR = 4
 # Stands for a null id in the order of documents: behind all others.
 LAST = (1 << 63) - 1
 
 
 def pieces(raw: bytes) -> list[bytes]:
-    """The sentences of a text with what follows them; joined, they are the text again."""
+    """The sentences of a text with what follows them, long ones in parts; joined, they are the text again."""
     ends = [m.end() for m in CUT.finditer(raw)]
     if not ends or ends[-1] < len(raw):
         ends.append(len(raw))
-    return [raw[a:b] for a, b in zip([0, *ends], ends)] if raw else []
+    return [part for a, b in zip([0, *ends], ends) for part in parts(raw[a:b])] if raw else []
+
+
+def parts(sentence: bytes) -> list[bytes]:
+    """The sentence, cut if it has over WHOLE words. Parts have over NEAR words and at most PART: where no
+    pair of words stands out, they are of equal length."""
+    words = sentence.lower().split()
+    if len(words) <= WHOLE:
+        return [sentence]
+    h = [zlib.crc32(b) ^ (zlib.crc32(a, 1) >> 1) for a, b in zip(words, words[1:])]
+    cuts = [0]
+    for i in range(NEAR + 1, len(words) - NEAR):
+        x = h[i]
+        if x < h[i - 1] and x < min(h[i - NEAR : i]) and x <= min(h[i + 1 : i + NEAR + 1], default=x):
+            cuts.append(i)
+    cuts.append(len(words))
+    every = [0]
+    for a, b in zip(cuts, cuts[1:]):
+        k = -(-(b - a) // PART)
+        every += [a + (b - a) * j // k for j in range(1, k + 1)]
+    starts = [m.start() for m in SPOKEN.finditer(sentence)]
+    edges = [0, *(starts[i] for i in every[1:-1]), len(sentence)]
+    return [sentence[a:b] for a, b in zip(edges, edges[1:])]
 
 
 def runs(raw: bytes, span: int) -> Iterator[tuple[int, int, int, bool]]:
@@ -109,10 +139,10 @@ def repeats(docs: DataFrame, span: int = 2) -> DataFrame:
 
 def _removed(raw: bytes, covered: list[int] | None, span: int) -> tuple[int, list[int], bytes]:
     """Number of sentences with a word, which of them go, and the rest of the text."""
-    parts = pieces(raw)
+    said = pieces(raw)
     hit = {i for at in covered or () for i in range(at, at + span)}
     kept, at = [], 0
-    for part in parts:
+    for part in said:
         if part.split():
             if at not in hit:
                 kept.append(part)
@@ -138,7 +168,7 @@ def _cut_batches(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Re
 
 
 def cut(docs: DataFrame, span: int = 2) -> DataFrame:
-    """`row` (the document), `n_sentences`, `removed` (numbers of the sentences taken out, counted
+    """`row` (the document), `n_sentences` (parts of long ones each count), `removed` (numbers of the sentences taken out, counted
     from 0 among those with a word) and `cleaned` (the text without them).
 
     Null text counts as empty; `cleaned` is then empty. Rows without doc_id come last in the order

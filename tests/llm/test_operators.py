@@ -145,6 +145,43 @@ def test_spans_awkward(awkward, empty):
     assert spans.deduplicated(empty).count() == 0
 
 
+def test_repeated_long_sentences_go(spark):
+    rng = random.Random(12)
+
+    def said(n):
+        return [f"{rng.choice('abcdefgh')}{rng.randint(0, 3000)}" for _ in range(n)]
+
+    rows, own = [], {}
+    for i in range(0, 160, 4):
+        # Alone, inside a sentence of other words, at the end of a text, and a text of its own.
+        passage = " ".join(said(60))
+        rows.append((i, f"{' '.join(said(9))}. {passage}. {' '.join(said(9))}."))
+        rows.append((i + 1, f"{' '.join(said(9))}. {passage}. {' '.join(said(9))}."))
+        rows.append((i + 2, f"{' '.join(said(9))}. {' '.join(said(20))} {passage} {' '.join(said(20))}. {' '.join(said(9))}."))
+        rows.append((i + 3, f"{' '.join(said(30))} {passage}"))
+        own |= {i: 78, i + 1: 18, i + 2: 58, i + 3: 30}
+    alone = said(300)
+    rows += [(1000, " ".join(alone)), (1001, " ".join(alone).upper()), (1002, "a " * 100), (1003, "a " * 100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r["doc_id"]: len(r["cleaned"].split()) for r in spans.cut(frame).select("row.doc_id", "cleaned").collect()}
+    assert left[1000] == 300 and left[1001] == left[1003] == 0
+    assert all(left[i] == n for i, n in own.items() if i % 4 < 2)
+    for at in (2, 3):
+        over = [left[i] - n for i, n in own.items() if i % 4 == at]
+        # Of a passage with other words around it the outer parts stay.
+        assert min(over) >= 0 and sum(x < 60 for x in over) >= 39 and sum(over) < 30 * 40
+
+
+def test_parts_are_the_sentence():
+    rng = random.Random(13)
+    for n in (1, 16, 17, 40, 500):
+        for words in (["a"] * n, [rng.choice(["a", "B", "c1", "é"]) for _ in range(n)]):
+            text = "  ".join(words).encode() + b". "
+            cut = spans.parts(text)
+            assert b"".join(cut) == text and all(len(x.split()) <= 32 for x in cut)
+            assert (len(cut) == 1) if n <= 16 else (len(cut) > 1 or n <= 32)
+
+
 # 3: packing
 
 
