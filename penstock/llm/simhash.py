@@ -367,7 +367,7 @@ def _prefix_batches(
             own = _sets(raw, size)
             n = len(own)
             if least is not None:
-                last = np.isin(own, hot, assume_unique=True)
+                last = np.searchsorted(hot, own, "right") > np.searchsorted(hot, own)
                 own = np.concatenate((own[~last], own[last]))[: n - math.ceil(least * n - 1e-9) + 1]
             tokens.append(own.view(np.int64))
             nodes.append(np.full(len(own), node, dtype=np.int64))
@@ -395,7 +395,7 @@ def prefixes(texts: DataFrame, size: int, least: float) -> DataFrame:
     every = max(1, texts.count() // SAMPLED)
     some = tokens(raw.where(F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(every)) == 0), None, np.array([], dtype=np.uint64))
     often = some.groupBy("token").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "token").limit(LISTED)
-    hot = np.array([r["token"] for r in often.collect()], dtype=np.int64).view(np.uint64)
+    hot = np.sort(np.array([r["token"] for r in often.collect()], dtype=np.int64).view(np.uint64))
     found = common.stored(tokens(raw, least, hot), "prefixes")
     several = found.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
     return common.stored(found.join(several, "token").distinct(), "shared")
