@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penstock.llm import common, covertree, kneser_ney, licences, mixing, packing, quality, sharding, simhash, spans, toxicity
+from penstock.llm import audit, common, covertree, kneser_ney, licences, mixing, packing, quality, sharding, simhash, spans, toxicity
 from penstock.session import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -102,6 +102,10 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.search(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
@@ -129,8 +133,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_model": op8_language_model,
         "op9_toxicity": op9_toxicity,
         "op10_cover_tree": op10_cover_tree,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_licences": licences.scan_sql(), "op10_cover_tree": TOP_K_SQL}
+    return {
+        "op4_licences": licences.scan_sql(),
+        "op10_cover_tree": TOP_K_SQL,
+        "op11_filter_audit": audit.audit_sql(),
+    }
