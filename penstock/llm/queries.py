@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penstock.llm import audit, common, covertree, kneser_ney, licences, mixing, packing, quality, sharding, simhash, spans, toxicity
+from penstock.llm import audit, common, covertree, kneser_ney, licences, mixing, packing, periods, quality, sharding, simhash, spans, toxicity
 from penstock.session import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -106,6 +106,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.found_runs(common.documents(spark, sf_dir), plant=True)
+
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
@@ -134,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op10_cover_tree": op10_cover_tree,
         "op11_filter_audit": op11_filter_audit,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
