@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from penstock.session import scratch_path
+from penstock.upkeep.files import Folder
 
 # A word: a run of characters other than space, tab, newline, vertical tab, form feed, return.
 # `bytes.split()` cuts at the same six characters.
@@ -27,6 +28,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one operator below a folder of its own, so that they can go as soon as the tables
+    made of them are written."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.path = scratch_path(spark, label)
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            Folder(self.spark, f"{self.path}/{name}").delete()
+
+
 def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 

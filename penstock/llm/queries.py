@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penstock.llm import audit, common, covertree, kneser_ney, licences, mixing, packing, periods, quality, sharding, simhash, spans, toxicity
+from penstock.llm import audit, common, covertree, kneser_ney, licences, mixing, packing, periods, quality, sharding, simhash, spans, suffixes, toxicity
 from penstock.session import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -106,6 +106,17 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.deduplicated(common.documents(spark, sf_dir))
+    return cut.select(
+        "row.doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.found_runs(common.documents(spark, sf_dir), plant=True)
 
@@ -138,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op10_cover_tree": op10_cover_tree,
         "op11_filter_audit": op11_filter_audit,
+        "op12_suffix_dedup": op12_suffix_dedup,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
