@@ -44,6 +44,9 @@ class Scratch:
         for name in names:
             Folder(self.spark, f"{self.path}/{name}").delete()
 
+    def clear(self) -> None:
+        Folder(self.spark, self.path).delete()
+
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))

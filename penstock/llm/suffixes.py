@@ -15,9 +15,10 @@ all windows of one anchor, their union is its stretch of text.
    `o` bytes before their anchors are equal when the suffixes share `length - o` bytes and the
    prefixes `o`; both are ranges between neighbours in the sorted orders.
 4. A gram with more than `LIMIT` different stretches would put a group without bound into one task.
-   Its windows are counted one by one by hash instead, which is exact as well and has no hot key.
+   Its windows are counted by hash instead, ranges of offsets first and single ones where a range is
+   not alike throughout. That is exact as well, and what has no match is all that a key can hold.
 
-Texts are known by 96 bits of hashes, stretches by 96, windows of step 4 by 128 and their offset.
+Texts are known by 96 bits of hashes, stretches by 96, parts of step 4 by 128 and their offset.
 
 Edge cases: a null text is empty; texts shorter than `length` lose nothing; equal texts of `length`
 bytes or more, repeated rows included, lose everything in every copy; a null doc_id is as good as any
@@ -44,6 +45,8 @@ GRAM = 32
 LIMIT = 1024
 # Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 64
+# Parts of a range of offsets.
+FAN = 4
 # Stretches sorted side by side.
 BLOCK = 8192
 PART = 4_000_000
@@ -274,33 +277,47 @@ def sorted_groups(stretches: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(search, FOUND)
 
 
-def counted_windows(stretches: DataFrame, length: int) -> DataFrame:
-    """The same for grams with too many stretches for one task: their windows counted by hash."""
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for gram, single, d1, d2, pos, lo, hi, data in zip(*(c.to_pylist() for c in batch.columns)):
-                for o in range(lo, hi + 1):
-                    window = xxhash.xxh3_64_intdigest(data[hi - o : hi - o + length])
-                    rows.append((gram, window - 2**63, o, single, d1, d2, pos - o))
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_()] + [pa.int64()] * 3
-                names = ["gram", "window", "o", "single", "d1", "d2", "start"]
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names)
+def counted_windows(stretches: DataFrame, length: int, scratch: common.Scratch) -> DataFrame:
+    """The same for grams with too many stretches for one task, by hashes and counts alone.
 
+    A node is a range of offsets, the same for all stretches. If what all its windows share occurs
+    once, none of them recurs; if their union recurs, all of them do; else the node is split in
+    FAN. Of stretches with the same union one goes on for the others to meet, so that what is left
+    under one key differs. The number of rounds is that of the levels, whatever the data."""
     columns = ["gram", "single", "d1", "d2", "pos", "lo", "hi", "data"]
-    key = ["gram", "window", "o"]
-    rows = stretches.select(*columns).mapInArrow(
-        windows, "gram long, window long, o int, single boolean, d1 long, d2 long, start long"
-    )
-    again = rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
-    return (
-        rows.where("single")
-        .join(again, key, "left_semi")
-        .select("d1", "d2", "start", (F.col("start") + length).alias("end"))
-    )
+    shared = F.substring("data", (F.col("hi") - F.col("low") + 1).cast("int"), (length - F.col("high") + F.col("low")).cast("int"))
+    union = F.substring("data", (F.col("hi") - F.col("high") + 1).cast("int"), (length + F.col("high") - F.col("low")).cast("int"))
+    inside = F.expr("lo <= low and high <= hi")
+    # A node that reaches beyond its stretch has no union there; its own key keeps such rows apart.
+    alone = F.xxhash64("d1", "d2", "pos")
+    rows = stretches.select(*columns, F.lit(0).alias("low"))
+    width, found = 1, None
+    while width < length - GRAM + 1:
+        width *= FAN
+    while width > 1:
+        width //= FAN
+        parts = F.explode(F.array(*[F.col("low") + k * width for k in range(FAN)]))
+        nodes = rows.select(*columns, parts.alias("low")).withColumn("high", F.col("low") + width - 1)
+        nodes = nodes.where("low <= hi and high >= lo").withColumns(
+            {"inside": inside, "core": F.xxhash64(shared), "whole": F.when(inside, F.xxhash64(union)).otherwise(alone)}
+        )
+        nodes = scratch.stored(nodes, f"nodes-{width}")
+        again = nodes.groupBy("gram", "low", "core").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        again = scratch.stored(again, f"cores-{width}")
+        open_ = scratch.stored(nodes.join(again, ["gram", "low", "core"], "left_semi"), f"open-{width}")
+        firsts = [F.first(c).alias(f"first_{c}") for c in ("d1", "d2", "pos")]
+        wholes = open_.where("inside").groupBy("gram", "low", "whole").agg(F.count("*").alias("n"), *firsts)
+        wholes = scratch.stored(wholes.where("n > 1"), f"unions-{width}")
+        met = open_.join(wholes, ["gram", "low", "whole"], "left").withColumn("met", F.expr("inside and n is not null"))
+        met = scratch.stored(met, f"met-{width}")
+        scratch.drop(*[f"{name}-{width}" for name in ("nodes", "cores", "open", "unions")])
+        here = met.where("met and single").select(
+            "d1", "d2", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("end")
+        )
+        found = here if found is None else found.unionByName(here)
+        first = F.expr("d1 = first_d1 and d2 = first_d2 and pos = first_pos")
+        rows = met.where(~F.col("met") | first).withColumn("single", F.expr("single and not met")).select(*columns, "low")
+    return found
 
 
 # The corpus
@@ -321,13 +338,18 @@ def repeated(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> DataF
     scratch = common.Scratch(docs.sparkSession, "suffixes")
     texts = keyed(docs).select("d1", "d2", "text")
     every = scratch.stored(anchor_rows(texts, length), "anchors")
+    # Counts are stored before they are joined: then both sides of the join are read from tables, and
+    # the rows of a frequent gram can be split among tasks.
     often = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    often = scratch.stored(often, "grams")
     kept = scratch.stored(every.join(often, "gram", "left_semi"), "anchors-again")
     scratch.drop("anchors")
     alike = kept.groupBy("gram", "stretch").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("d1", "d2", "pos", "lo", "hi")]
     )
+    alike = scratch.stored(alike, "alike")
     different = alike.groupBy("gram").agg(F.count("*").alias("different"))
+    different = scratch.stored(different, "different")
     kinds = scratch.stored(alike.join(different, "gram").where("n > 1 or different > 1"), "stretches")
     whole = kept.join(kinds.where("n > 1").select("gram", "stretch"), ["gram", "stretch"], "left_semi")
     known = whole.select(
@@ -347,13 +369,14 @@ def repeated(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> DataF
     size = F.col("w.hi") - F.col("w.lo") + length
     cut = cut.select("d1", "d2", "w.*", F.substring("data", (begin + 1).cast("int"), size.cast("int")).alias("data"))
     cut = scratch.stored(cut, "cut")
-    found = sorted_groups(cut.where("not hot"), length).unionByName(
-        counted_windows(cut.where("hot"), length)
-    )
+    found = sorted_groups(cut.where("not hot"), length)
+    hot = cut.where("hot")
+    if not hot.isEmpty():
+        found = found.unionByName(counted_windows(hot, length, scratch))
     # Copies of a text name the same pieces: sets are made before the shuffle as well.
     pieces = known.unionByName(found).groupBy("d1", "d2").agg(F.collect_set(F.struct("start", "end")).alias("found"))
-    pieces = scratch.stored(pieces, "pieces")
-    scratch.drop("anchors-again", "stretches", "cut")
+    pieces = common.stored(pieces, "pieces")
+    scratch.clear()
     return pieces
 
 
