@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penstock.functions.alerts import graded
@@ -16,7 +16,6 @@ from penstock.functions.numbers import (
     unit_interval,
 )
 from penstock.model import ATTENTION, CRITICAL, MAINTENANCE, NORMAL
-from penstock.operators.ordered import running_totals
 from penstock.settings import LIMITS
 
 # --- Fixed values ---
@@ -309,12 +308,12 @@ def distinct_plants(readings: DataFrame) -> DataFrame:
 
 
 def plant_palette_index(readings: DataFrame, size: int = PALETTE_SIZE) -> DataFrame:
-    """Place of each plant in the sorted list, repeated over the palette."""
+    """Place of each plant in the sorted list, repeated over the palette.
+
+    The list of plants is counted in one task; it is as long as the fleet, whatever the readings."""
     plants = readings.select("plant_id").dropna().distinct()
-    ranked = running_totals(plants, [], ["plant_id"], {"place": F.lit(1)})
-    return ranked.select(
-        "plant_id", ((F.col("place") - 1) % size).cast("int").alias("palette_index")
-    )
+    place = F.row_number().over(Window.orderBy("plant_id")) - 1
+    return plants.select("plant_id", (place % size).cast("int").alias("palette_index"))
 
 
 def active_plants_filter(readings: DataFrame, plant_ids: list[str]) -> DataFrame:

@@ -157,9 +157,8 @@ def run_job(
         unique = curated.dedup_events(
             changed.select("plant_id", "event_ts", "event_id", "status", "event_date", "kafka_offset")
         )
-        day_number = F.unix_date("event_date")
-        runs = history.status_runs(unique, segment=day_number)
-        dated = runs.withColumn("event_date", F.date_from_unix_date(F.col("segment").cast("int")))
+        runs = history.day_runs(unique)
+        dated = runs.withColumn("event_date", F.date_from_unix_date(F.col("unit").cast("int")))
         write_batch(dated, 0, path, ["event_date"], "start_ts")
 
     return _start(

@@ -7,8 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from penstock.operators import distribution, history
-from penstock.operators.ordered import order_blocks, running_totals
+from penstock.operators import distribution, history, prefix
 
 START = datetime(2024, 5, 1)
 SCHEMA = (
@@ -63,33 +62,92 @@ def collected(episodes):
     return sorted((tuple(r) for r in episodes.select(*columns).collect()), key=str)
 
 
-@pytest.mark.parametrize("blocks", [1, 3, 16])
-def test_running_energy(readings, blocks):
+@pytest.mark.parametrize("seconds", [60, 300, 86_400])
+def test_running_energy(readings, seconds):
     line = Window.partitionBy("plant_id").orderBy("event_ts", "event_id")
     plain = readings.withColumn(
         "expected", F.sum("energy_mwh").over(line.rowsBetween(Window.unboundedPreceding, 0))
     )
-    both = history.running_energy(readings, blocks).join(
+    both = history.running_energy(readings, seconds=seconds).join(
         plain.select("event_id", "expected"), "event_id"
     )
     assert both.count() == 3000
     assert both.filter("cumulative_energy_mwh <> expected").count() == 0
 
 
-def test_blocks_split_a_large_plant_evenly(readings):
-    sizes = order_blocks(readings, ["plant_id"], ["event_ts", "event_id"], 10)
-    counts = [r["count"] for r in sizes.groupBy("block").count().collect()]
-    assert len(counts) == 10 and max(counts) < 3000 / 10 * 2
+def test_rows_without_key_or_time_are_totalled_too(spark):
+    rows = [(None, START, "b", 1.0), (None, None, "a", 2.0), (None, START + timedelta(days=9), "c", 4.0), ("p", START, "d", 8.0)]
+    df = spark.createDataFrame(rows, "plant_id string, event_ts timestamp, event_id string, energy_mwh double")
+    found = {r.event_id: r.cumulative_energy_mwh for r in history.running_energy(df).collect()}
+    assert found == {"a": 2.0, "b": 3.0, "c": 7.0, "d": 8.0}
 
 
-def test_running_totals_without_key(spark):
-    df = spark.range(100).withColumn("n", F.lit(1))
-    ranked = running_totals(df.select("id"), [], ["id"], {"place": F.lit(1)}, 4)
-    assert ranked.filter("place <> id + 1").count() == 0
+@pytest.fixture(scope="module")
+def days(spark, tmp_path_factory):
+    """Three days, one plant with nine in ten rows; the readings stored by day."""
+    pick = random.Random(5)
+    rows = [
+        (
+            "big" if i % 10 else "small",
+            START + timedelta(seconds=86_400 * 3 * i // 4000),
+            f"e{i:05d}",
+            "MANUTENCAO" if pick.random() < 0.3 else "OPERANDO",
+            float(pick.randrange(9)),
+            float(pick.randrange(50)),
+        )
+        for i in range(4000)
+    ]
+    path = str(tmp_path_factory.mktemp("history"))
+    df = spark.createDataFrame(rows, SCHEMA).withColumns(
+        {"installed_mw": F.lit(60.0), "event_date": F.to_date("event_ts")}
+    )
+    df.write.partitionBy("event_date").parquet(f"{path}/readings")
+    return spark.read.parquet(f"{path}/readings"), f"{path}/sums"
+
+
+def test_a_day_is_appended_with_the_stored_sums(spark, days):
+    """Day by day, with one day repeated after late rows; each day reads itself and the sums only."""
+    readings, path = days
+    whole = {
+        "energy": history.running_energy(readings),
+        "oee": history.running_oee(readings).drop("power_mw", "installed_mw", "status"),
+    }
+    expected = {name: {tuple(r) for r in df.collect()} for name, df in whole.items()}
+    found = {"energy": set(), "oee": set()}
+    for n in range(3):
+        date = (START + timedelta(days=n)).date()
+        day = readings.filter(F.col("event_date") == date)
+        if n == 1:
+            history.store_history(day.limit(50), path)
+        history.store_history(day, path)
+        sums = history.stored_history(spark, path, F.lit(date))
+        running = history.running_energy(day, sums)
+        text = running._jdf.queryExecution().executedPlan().toString()
+        filters = [line for line in text.splitlines() if "PartitionFilters" in line]
+        assert filters and all(str(date) in line for line in filters)
+        found["energy"] |= {tuple(r) for r in running.collect()}
+        oee = history.running_oee(day, sums).drop("power_mw", "installed_mw", "status")
+        found["oee"] |= {tuple(r) for r in oee.collect()}
+    assert found == expected
+
+
+def test_a_large_plant_is_worked_on_in_many_tasks(spark, days):
+    readings, _ = days
+    placed = prefix.bucketed(readings.filter("plant_id = 'big'"))
+    assert max(r["count"] for r in placed.groupBy("bucket").count().collect()) < 20
+    assert placed.select("bucket").distinct().count() > 800
+
+
+def test_history_keeps_no_scratch(spark, days):
+    """No sample and no checkpoint: the whole plan is there, down to the tables."""
+    readings, _ = days
+    for df in (history.running_energy(readings), history.maintenance_episodes(readings)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in text and "ExistingRDD" not in text and "CartesianProduct" not in text
 
 
 def test_availability(readings):
-    last = history.running_availability(readings, blocks=5).groupBy("plant_id").agg(
+    last = history.running_availability(readings, seconds=900).groupBy("plant_id").agg(
         F.max("total_readings").alias("total"), F.max("available_readings").alias("available")
     )
     expected = readings.groupBy("plant_id").agg(
@@ -99,17 +157,42 @@ def test_availability(readings):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("blocks", [1, 4, 40])
-def test_episodes(spark, seed, blocks):
+@pytest.mark.parametrize("seconds", [1, 10, 3600])
+def test_episodes(spark, seed, seconds):
     rows = made_up(seed, 200)
     df = spark.createDataFrame(rows, SCHEMA)
-    assert collected(history.maintenance_episodes(df, blocks)) == episodes_by_hand(rows)
+    assert collected(history.maintenance_episodes(df, seconds)) == episodes_by_hand(rows)
+
+
+def test_episodes_over_years(spark):
+    """All levels take part: hours, days, months and decades apart, before and after 1970."""
+    pick = random.Random(9)
+    rows = []
+    for i in range(400):
+        hours = pick.choice([1, 30, 24 * 50, 24 * 365 * 7]) * pick.randrange(1, 8)
+        ts = datetime(1960, 1, 1) + timedelta(hours=hours, seconds=i)
+        rows.append((pick.choice("ab"), ts, f"e{i:05d}", pick.choice(["MANUTENCAO", "OPERANDO"]), 0.0, 0.0))
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert collected(history.maintenance_episodes(df)) == episodes_by_hand(rows)
+
+
+def test_runs_merge_in_any_grouping(spark):
+    rows = made_up(3, 300, plants=("a",))
+    runs = history.bucket_runs(spark.createDataFrame(rows, SCHEMA), 5)
+    for fans in ((None,), (2, None), (3, 5, None), (100, None)):
+        merged = runs
+        for fan in fans:
+            merged = history.merge_runs(merged, fan)
+            borders = merged.filter("first or last").groupBy("plant_id", "unit").count()
+            assert borders.filter("count > 2").isEmpty()
+        found = merged.filter("maintenance").withColumn("resumed_ts", F.col("next_ts"))
+        assert collected(found) == episodes_by_hand(rows)
 
 
 @pytest.mark.parametrize("status", ["MANUTENCAO", "OPERANDO"])
 def test_one_status_throughout(spark, status):
     rows = [("a", START + timedelta(seconds=i), f"e{i}", status, 1.0, 1.0) for i in range(30)]
-    found = collected(history.maintenance_episodes(spark.createDataFrame(rows, SCHEMA), 6))
+    found = collected(history.maintenance_episodes(spark.createDataFrame(rows, SCHEMA), 5))
     assert found == episodes_by_hand(rows)
 
 
@@ -122,7 +205,7 @@ def test_episodes_by_day_join_over_midnight(spark):
     runs = None
     for day in range(3):
         one = df.filter(F.to_date("event_ts") == (START + timedelta(days=day)).date())
-        part = history.status_runs(one, 2, F.lit(day))
+        part = history.day_runs(one)
         runs = part if runs is None else runs.unionByName(part)
     assert collected(history.join_runs(runs)) == episodes_by_hand(rows)
 
@@ -134,7 +217,7 @@ def test_seconds_are_cut_at_the_hour(spark):
         ("a", START + timedelta(seconds=t), f"e{i}", s, 1.0, 1.0)
         for i, (t, s) in enumerate(zip(times, statuses))
     ]
-    episodes = history.maintenance_episodes(spark.createDataFrame(rows, SCHEMA), 2)
+    episodes = history.maintenance_episodes(spark.createDataFrame(rows, SCHEMA))
     found = history.maintenance_seconds(episodes).orderBy("window_start").collect()
     assert [r.maintenance_seconds for r in found] == [600.0, 3600.0, 1800.0]
 
