@@ -92,12 +92,21 @@ def recent_or_last(
     now: datetime | Column,
     minutes: int = SERIES_MINUTES,
     n: int = SNAPSHOT_ROWS,
+    newest: DataFrame | None = None,
 ) -> DataFrame:
-    """Readings of the last minutes before `now`, or the newest n when there are none."""
-    recent = readings.filter(
-        F.col("event_ts") >= F.lit(now) - F.expr(f"INTERVAL {minutes} MINUTES")
-    )
-    return last_n_by_time(readings, n) if recent.isEmpty() else recent
+    """Readings of the last minutes before `now`, or the newest n when there are none.
+
+    Which of the two is settled when the result is read, by a scalar subquery over the recent part.
+    `newest` may name a part of the table that holds its n newest rows (`sources.newest`), so that
+    the other branch need not look at all of them."""
+    cutoff = F.lit(now) - F.expr(f"INTERVAL {minutes} MINUTES")
+    recent = readings.filter(F.col("event_ts") >= cutoff)
+    if "event_date" in readings.columns:
+        recent = recent.filter(F.col("event_date") >= cutoff.cast("date"))
+    none = recent.agg(F.count(F.lit(1))).scalar() == 0
+    source = readings if newest is None else newest
+    # Inside the sort, so that nothing is sorted when there are recent readings.
+    return recent.unionByName(last_n_by_time(source.filter(none), n))
 
 
 def minute_series(readings: DataFrame, minutes: int = SERIES_MINUTES) -> DataFrame:
@@ -194,9 +203,14 @@ def health_board(kpis: DataFrame) -> DataFrame:
 
 
 def silver_snapshot(
-    readings: DataFrame, now: datetime | Column, compat: bool = False, n: int = SNAPSHOT_ROWS
+    readings: DataFrame,
+    now: datetime | Column,
+    compat: bool = False,
+    n: int = SNAPSHOT_ROWS,
+    newest: DataFrame | None = None,
 ) -> DataFrame:
-    """KPIs per plant straight from the curated table, while no KPI table exists yet.
+    """KPIs per plant straight from the curated table, while no KPI table exists yet; `newest` as in
+    `recent_or_last`.
 
     `compat=True` keeps what older readers got: means in the columns named max and energy, and 0
     for critical and maintenance readings.
@@ -215,7 +229,7 @@ def silver_snapshot(
     peak = F.avg if compat else F.max
     total = F.avg if compat else F.sum
     none = F.lit(0).cast("bigint")
-    recent = recent_or_last(readings, now, n=n)
+    recent = recent_or_last(readings, now, n=n, newest=newest)
     grouped = recent.groupBy("plant_id").agg(
         F.avg("power_mw").alias("power_avg_mw"),
         F.max("power_mw").alias("power_max_mw"),
@@ -252,11 +266,18 @@ def silver_snapshot(
     )
 
 
-def source_fallback(kpis: DataFrame, curated: DataFrame, now: datetime) -> DataFrame:
-    """KPIs where there are any, else the snapshot; `source` tells which."""
-    if not kpis.isEmpty():
-        return kpis.withColumn("source", F.lit("kpis"))
-    return silver_snapshot(curated, now).withColumn("source", F.lit("curated"))
+def source_fallback(kpis: DataFrame, curated: DataFrame, now: datetime | Column) -> DataFrame:
+    """KPIs where there are any, else the snapshot; `source` tells which. Both have the columns of
+    the KPI table, null where the snapshot knows nothing, and the choice is made when it is read."""
+    empty = kpis.select("plant_id").limit(1).agg(F.count(F.lit(1))).scalar() == 0
+    snapshot = silver_snapshot(curated.filter(empty), now)
+    known = [
+        (F.col(f.name) if f.name in snapshot.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in kpis.schema
+    ]
+    return kpis.withColumn("source", F.lit("kpis")).unionByName(
+        snapshot.select(*known).withColumn("source", F.lit("curated"))
+    )
 
 
 # Anomalies --------------------------------------------------------------------------------------

@@ -516,7 +516,12 @@ UNPIVOT (readings FOR kind IN (anomaly_count, critical_count, maintenance_count)
             LAST_5000, "max(event_ts) + INTERVAL '1 day'", compat=False
         ),
         "source_fallback": f"""{with_kpis(5)}
-SELECT plant_id, window_start, event_count, 'kpis' AS source FROM kpis""",
+SELECT plant_id, window_start, window_start + INTERVAL '5 minutes' AS window_end,
+  CAST(5 AS INTEGER) AS window_minutes, event_count, {settled_list("power_avg_mw", "power_max_mw")},
+  'kpis' AS source FROM kpis""",
+        "source_fallback_snapshot": f"""
+SELECT plant_id, window_start, window_end, window_minutes, event_count, power_avg_mw, power_max_mw,
+  'curated' AS source FROM ({snapshot(RECENT_15, "max(event_ts)", compat=False)})""",
         "top_recent_anomalies": f"""{CURATED}, {TOP_30}
 SELECT strftime(event_ts, '%H:%M:%S') AS event_time, plant_id,
   'VIBRACAO_ALTA' AS anomaly_kind, alert_level, {rounded("power_mw", 3)} AS power_mw,

@@ -15,7 +15,7 @@ from penstock.operators import curated as cur
 from penstock.operators import distribution, enrich, history, insight, kpis, raw
 from penstock.session import scratch_path
 from penstock.settings import CURVE, CURVE_V2, LIMITS_V2
-from penstock.sources import log, tables
+from penstock.sources import log, newest, tables
 from penstock.sources import readings as src
 from penstock.streaming import jobs
 from penstock.streaming.sinks import batch_writer, write_batch
@@ -103,8 +103,29 @@ def _pick(source: Query, *columns: str) -> Query:
     return _on(source, lambda df: df.select(*columns))
 
 
-def _newest(df: DataFrame) -> Column:
-    return df.agg(F.max("event_ts")).scalar()
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _curated_table(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the curated layer by date, written once per session from the given events."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _STORED:
+        path = f"{scratch_path(spark, 'layer')}/curated"
+        write_batch(src.curated(spark, sf_dir), 0, path, ["event_date"], "event_id")
+        _STORED[known] = path
+    return _STORED[known]
+
+
+def _newest_rows(n: int, where: Column | None = None) -> Query:
+    return lambda spark, sf_dir: newest.newest_rows(
+        spark, _curated_table(spark, sf_dir), CURATED_TABLE, n, where
+    )
+
+
+def _recent_days(minutes: int) -> Query:
+    return lambda spark, sf_dir: newest.recent_days(
+        spark, _curated_table(spark, sf_dir), CURATED_TABLE, minutes
+    )
 
 
 # Curated ----------------------------------------------------------------------------------------
@@ -290,24 +311,39 @@ def energy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recent_window_or_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day after the newest reading there is nothing recent, so the newest rows are given."""
-    curated = src.curated(spark, sf_dir)
-    later = _newest(curated) + F.expr("INTERVAL 1 DAY")
-    return insight.recent_or_last(curated, later).select("event_id", "plant_id", "event_ts")
+    path = _curated_table(spark, sf_dir)
+    later = newest.newest_time(spark, path, CURATED_TABLE) + F.expr("INTERVAL 1 DAY")
+    table = tables.table_scan(spark, path, CURATED_TABLE)
+    last = newest.newest_rows(spark, path, CURATED_TABLE, insight.SNAPSHOT_ROWS)
+    return insight.recent_or_last(table, later, newest=last).select("event_id", "plant_id", "event_ts")
 
 
 def silver_snapshot(compat: bool = False, days_later: int = 0) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        curated = src.curated(spark, sf_dir)
-        now = _newest(curated) + F.expr(f"INTERVAL {days_later} DAYS")
-        return settled(insight.silver_snapshot(curated, now, compat))
+        path = _curated_table(spark, sf_dir)
+        now = newest.newest_time(spark, path, CURATED_TABLE) + F.expr(f"INTERVAL {days_later} DAYS")
+        table = tables.table_scan(spark, path, CURATED_TABLE)
+        last = newest.newest_rows(spark, path, CURATED_TABLE, insight.SNAPSHOT_ROWS)
+        return settled(insight.silver_snapshot(table, now, compat, newest=last))
 
     return query
 
 
-def source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = src.curated(spark, sf_dir)
-    answered = insight.source_fallback(kpis.window_kpis(curated, 5), curated, _newest(curated))
-    return answered.select("plant_id", "window_start", "event_count", "source")
+FALLBACK = ["plant_id", "window_start", "window_end", "window_minutes", "event_count", "power_avg_mw", "power_max_mw"]
+
+
+def source_fallback(with_kpis: bool) -> Query:
+    """Both branches: a KPI table that has rows, and one that has none yet."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _curated_table(spark, sf_dir)
+        curated = tables.table_scan(spark, path, CURATED_TABLE)
+        table = kpis.window_kpis(curated, 5)
+        now = newest.newest_time(spark, path, CURATED_TABLE)
+        answered = insight.source_fallback(table if with_kpis else table.limit(0), curated, now)
+        return settled(answered.select(*FALLBACK, "source"))
+
+    return query
 
 
 def trend_line(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -519,18 +555,25 @@ def queries() -> dict[str, Query]:
         ),
         "project_existing": project_existing,
         "recent_window_data_anchored": _pick(
-            _on(curated, lambda df: insight.recent_window(df, 60)),
+            _on(_recent_days(60), lambda df: insight.recent_window(df, 60)),
             "event_id",
             "plant_id",
             "event_ts",
             "power_mw",
         ),
-        "recent_window_summary": _on(curated, lambda df: insight.recent_window_summary(df, 60)),
+        "recent_window_summary": _on(
+            _recent_days(60), lambda df: insight.recent_window_summary(df, 60)
+        ),
         "recent_window_or_last_n": recent_window_or_last_n,
         "last_n_by_time": _pick(
-            _on(curated, insight.last_n_by_time), "event_id", "plant_id", "event_ts"
+            _on(_newest_rows(insight.SNAPSHOT_ROWS), insight.last_n_by_time),
+            "event_id",
+            "plant_id",
+            "event_ts",
+        ),
+        "minute_series": _on(
+            _recent_days(60), lambda df: insight.minute_series(df, 60), settle=True
         ),
-        "minute_series": _on(curated, lambda df: insight.minute_series(df, 60), settle=True),
         "latest_per_plant": _on(
             _kpis_1h, lambda df: insight.latest_per_plant(df, latest_columns), settle=True
         ),
@@ -540,9 +583,14 @@ def queries() -> dict[str, Query]:
         "silver_snapshot": silver_snapshot(),
         "silver_snapshot_compat": silver_snapshot(compat=True),
         "silver_snapshot_fallback": silver_snapshot(days_later=1),
-        "source_fallback": source_fallback,
-        "top_recent_anomalies": _on(curated, insight.top_recent_anomalies),
-        "anomaly_level_counts": _on(curated, insight.anomaly_level_counts),
+        "source_fallback": source_fallback(with_kpis=True),
+        "source_fallback_snapshot": source_fallback(with_kpis=False),
+        "top_recent_anomalies": _on(
+            _newest_rows(insight.TOP_ANOMALIES, F.col("is_anomaly")), insight.top_recent_anomalies
+        ),
+        "anomaly_level_counts": _on(
+            _newest_rows(insight.TOP_ANOMALIES, F.col("is_anomaly")), insight.anomaly_level_counts
+        ),
         "anomaly_scan_coverage": _on(_events, insight.anomaly_scan_coverage),
         "file_census": file_census,
         "recent_files_scan": recent_files_scan,
