@@ -112,6 +112,12 @@ def merge_kpis(partials: DataFrame, minutes: int) -> DataFrame:
     return _finish(keyed.groupBy(*group).agg(*columns), minutes)
 
 
+def fold(partials: DataFrame, minutes: int, closed_until: Column | None = None) -> DataFrame:
+    """KPIs of a width out of stored partial rows; of windows that end by `closed_until` if given."""
+    whole = merge_kpis(partials, minutes)
+    return whole if closed_until is None else whole.filter(F.col("window_end") <= closed_until)
+
+
 def alert_breaches(kpis: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Windows above the critical rate or the vibration limit."""
     return kpis.filter(

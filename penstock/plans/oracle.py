@@ -434,6 +434,7 @@ FROM numbered WHERE m GROUP BY plant_id, run"""
         "window_kpis_1h": kpi_rows(60),
         "merge_kpis": kpi_rows(60),
         "rebuild_windows": kpi_rows(60),
+        "repair_late_windows": kpi_rows(60),
         "stream_window_kpis_5m": kpi_rows(5, CLOSED),
         "stream_window_kpis_1h": kpi_rows(60, CLOSED),
         "quality_filter": f"{READINGS} SELECT event_id, plant_id, power_mw, efficiency FROM usable",

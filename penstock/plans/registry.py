@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from penstock.functions import alerts, machine, numbers
@@ -19,7 +19,7 @@ from penstock.sources import log, newest, tables
 from penstock.sources import readings as src
 from penstock.streaming import jobs
 from penstock.streaming.sinks import batch_writer, write_batch
-from penstock.upkeep import freshness, retention, rewrite
+from penstock.upkeep import dirty, freshness, retention, rewrite
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -429,16 +429,44 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/rejected").select("kafka_offset", "reason")
 
 
-def stream_window_kpis(minutes: int) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = scratch_path(spark, "kpis")
-        readings = _curated_stream(spark, sf_dir)
-        jobs.kpi_job(
-            readings, f"{base}/kpis", f"{base}/state", minutes, trigger=NOW_AVAILABLE
+STREAM_FILES = 6
+
+
+def _stored_readings(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Readings in files that follow each other in time, for streams of one file a batch."""
+    number = F.ntile(STREAM_FILES).over(Window.orderBy("event_date"))
+    dates = rows.select("event_date").distinct().withColumn("part", number)
+    parted = rows.join(F.broadcast(dates), "event_date").select(*rows.columns, "part").persist()
+    for part in range(1, STREAM_FILES + 1):
+        parted.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(path)
+    parted.unpersist()
+
+
+def _partials(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the partial rows of a stream over the curated readings, each reading sent twice, in
+    a batch per file; once per session."""
+    known = (spark.sparkContext.applicationId, f"{sf_dir} partials")
+    if known not in _STORED:
+        base = scratch_path(spark, "partials")
+        rows = tables.table_scan(spark, _curated_table(spark, sf_dir), CURATED_TABLE)
+        _stored_readings(spark, rows.union(rows), f"{base}/readings")
+        readings = tables.table_stream(spark, f"{base}/readings", CURATED_TABLE, max_files=1)
+        jobs.partial_job(
+            readings, f"{base}/partials", f"{base}/state", trigger=NOW_AVAILABLE
         ).awaitTermination()
-        return settled(tables.kpi_scan(spark, f"{base}/kpis"))
+        _STORED[known] = f"{base}/partials"
+    return _STORED[known]
 
-    return query
+
+def _folded(spark: SparkSession, sf_dir: str, minutes: int) -> DataFrame:
+    """KPIs of the windows that the stream has closed."""
+    partials = tables.partial_scan(spark, _partials(spark, sf_dir))
+    last = newest.newest_time(spark, _curated_table(spark, sf_dir), CURATED_TABLE)
+    return kpis.fold(partials, minutes, last - F.expr("INTERVAL 10 MINUTES"))
+
+
+def stream_window_kpis(minutes: int) -> Query:
+    return lambda spark, sf_dir: settled(_folded(spark, sf_dir, minutes))
 
 
 def stream_maintenance_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,12 +480,7 @@ def stream_maintenance_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_alert_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_path(spark, "breaches")
-    sink = batch_writer(f"{base}/breaches", ["plant_id"], "window_start")
-    jobs.breach_job(
-        _curated_stream(spark, sf_dir), sink, f"{base}/state", 60, trigger=NOW_AVAILABLE
-    ).awaitTermination()
-    return settled(tables.table_scan(spark, f"{base}/breaches", KPI_TABLE))
+    return settled(kpis.alert_breaches(_folded(spark, sf_dir, 60)))
 
 
 # Upkeep -----------------------------------------------------------------------------------------
@@ -493,21 +516,45 @@ def layer_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rebuild_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KPI windows of all days from a stored curated table, in place of what was there."""
+    """KPI windows of all days again, after late readings, in place of the rows without them."""
     base = scratch_path(spark, "rebuild")
-    write_batch(src.curated(spark, sf_dir), 0, f"{base}/curated", ["event_date"], "event_id")
-    rewrite.rebuild_windows(
-        spark,
-        f"{base}/curated",
-        CURATED_TABLE,
-        f"{base}/kpis",
-        60,
-        date(1970, 1, 1),
-        date(9999, 12, 31),
-    )
+    rows, late = src.curated(spark, sf_dir), F.col("kafka_offset") % 20 == 7
+    for number, part in enumerate((rows.filter(~late), rows.filter(late))):
+        write_batch(part, number, f"{base}/curated", ["event_date"], "event_id")
+        rewrite.rebuild_windows(
+            spark,
+            f"{base}/curated",
+            CURATED_TABLE,
+            f"{base}/kpis",
+            60,
+            date(1970, 1, 1),
+            date(9999, 12, 31),
+        )
     return settled(tables.kpi_scan(spark, f"{base}/kpis"))
 
 
+def repair_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A twentieth of the readings comes after its windows were given out; the windows they touch are
+    repaired, and hours are folded from them."""
+    base = scratch_path(spark, "repair")
+    rows, late = _curated(spark, sf_dir), F.col("kafka_offset") % 20 == 7
+    sink = dirty.noting(
+        batch_writer(f"{base}/curated", ["event_date"], "event_id"), f"{base}/curated", f"{base}/ledger"
+    )
+    sink(rows.filter(~late), 0)
+    stored = tables.table_scan(spark, f"{base}/curated", CURATED_TABLE)
+    partials = kpis.partial_kpis(stored, tables.PARTIAL_MINUTES)
+    dated = partials.withColumn("window_date", F.to_date("window_start"))
+    write_batch(dated, 0, f"{base}/partials", ["window_date"], "plant_id")
+    sink(rows.filter(late), 1)
+    dirty.repair(spark, f"{base}/curated", CURATED_TABLE, f"{base}/partials", f"{base}/ledger")
+    return settled(kpis.fold(tables.partial_scan(spark, f"{base}/partials"), 60))
+
+
+def _curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.table_scan(spark, _curated_table(spark, sf_dir), CURATED_TABLE)
+
+
 def queries() -> dict[str, Query]:
     curated, metered = src.curated, _metered
     time_line = ["plant_id", "event_ts", "event_id"]
@@ -652,6 +699,7 @@ def queries() -> dict[str, Query]:
         "stream_maintenance_episodes": stream_maintenance_episodes,
         "stream_alert_breaches": stream_alert_breaches,
         "rebuild_windows": rebuild_windows,
+        "repair_late_windows": repair_late_windows,
         "single_file_compaction": compaction,
         "retention_by_partition_date": curated_retention,
         "keyed_json_publish": keyed_json_publish,

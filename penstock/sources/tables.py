@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from penstock.model import KPI_TABLE
+from penstock.model import CURATED_TABLE, KPI_TABLE
+from penstock.operators import kpis
+
+# Width of the windows that are stored as partial rows; the widths of all KPI tables are multiples.
+PARTIAL_MINUTES = 5
 
 
 def table_scan(
@@ -28,6 +32,12 @@ def kpi_scan(spark: SparkSession, path: str, skip_unreadable: bool = False) -> D
     return table_scan(spark, path, KPI_TABLE, skip_unreadable).dropna(subset=["window_start"])
 
 
+def partial_scan(spark: SparkSession, path: str) -> DataFrame:
+    """Partial KPI rows by window date, to be folded into any width (`kpis.fold`)."""
+    rows = kpis.partial_kpis(spark.createDataFrame([], CURATED_TABLE), PARTIAL_MINUTES)
+    return table_scan(spark, path, T.StructType(rows.schema.fields + [T.StructField("window_date", T.DateType())]))
+
+
 def text_window_bounds(kpis: DataFrame) -> DataFrame:
     """Window bounds stored as text, as times; rows whose start does not parse are dropped."""
     parsed = kpis.withColumns(

@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from penstock.operators import curated, history, kpis, raw
 from penstock.settings import LIMITS, Limits, Settings
-from penstock.sources.tables import table_scan
+from penstock.sources.tables import PARTIAL_MINUTES, table_scan
 from penstock.streaming.sinks import BATCH, BatchFunction, batch_writer, every, write_batch
+from penstock.upkeep import dirty
 
 
 def _kept_up(sink: BatchFunction, batches: int, upkeep: Callable[[], None] | None) -> BatchFunction:
@@ -68,15 +69,20 @@ def curated_job(
     by: list[str] = ("event_date", "plant_id"),
     upkeep: Callable[[], None] | None = None,
     trigger: dict | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Log or raw table to curated table, every usable record however late.
 
+    With `ledger` the windows of each batch are noted there, for the repair of late ones.
+
     Repeats are left to readers: KPI streams, rebuild_windows and dedup_events take each event once.
     With `dedup` the stream itself drops them, and with them all that is behind the watermark."""
     rows = curated.curate(frame, limits)
     if dedup:
         rows = curated.dedup_stream(rows, settings.watermark)
     sink = batch_writer(path, list(by), "event_id")
+    if ledger:
+        sink = dirty.noting(sink, path, ledger)
     sink = _kept_up(sink, settings.curated_maintenance_batches, upkeep)
     return _start(rows, "curated", sink, checkpoint, settings.curated_trigger_seconds, trigger)
 
@@ -117,6 +123,26 @@ def kpi_job(
     return _start(dated, name, sink, checkpoint, settings.kpi_trigger_seconds, trigger)
 
 
+def partial_job(
+    readings: DataFrame,
+    path: str,
+    checkpoint: str,
+    settings: Settings = Settings(),
+    upkeep: Callable[[], None] | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Curated stream to partial KPI rows of closed windows, the one store behind all widths.
+
+    One stream and one state of event ids serve the KPI tables of every width, the breaches and the
+    repair of late windows: `kpis.fold` adds the rows up, `upkeep.dirty.repair` replaces some."""
+    unique = curated.dedup_stream(readings, settings.watermark)
+    partials = kpis.partial_kpis(unique, PARTIAL_MINUTES)
+    dated = partials.withColumn("window_date", F.to_date("window_start"))
+    sink = batch_writer(path, ["window_date"], "plant_id")
+    sink = _kept_up(sink, settings.kpi_maintenance_batches, upkeep)
+    return _start(dated, "partials", sink, checkpoint, settings.kpi_trigger_seconds, trigger)
+
+
 def breach_job(
     readings: DataFrame,
     sink: BatchFunction,

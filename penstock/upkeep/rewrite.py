@@ -68,7 +68,7 @@ def _swap(spark: SparkSession, path: str, stage: Folder) -> None:
     stage.delete()
 
 
-def _batches_of(spark: SparkSession, path: str, column: str, day: date) -> list[str]:
+def batches_of(spark: SparkSession, path: str, column: str, day: date) -> list[str]:
     name = f"{column}={day.isoformat()}"
     return [f"{name}/{leaf}" for leaf in Folder(spark, path).below(name).leaves(BATCH)]
 
@@ -88,7 +88,7 @@ def compact(
     reads this table sees the merged files as new; its watermark drops their rows as late, so a
     day is closed once every watermark has passed it.
     """
-    per_day = [_batches_of(spark, path, column, day) for day in days]
+    per_day = [batches_of(spark, path, column, day) for day in days]
     old = [leaf for leaves in per_day if len(leaves) > 1 for leaf in leaves]
     if not old:
         return 0
