@@ -33,6 +33,41 @@ def parse_events(frame: DataFrame, keep_raw: bool = False) -> DataFrame:
     return curated_from_wire(parse_json(kept, EVENT_JSON, keep))
 
 
+def parse_variant(frame: DataFrame) -> DataFrame:
+    """Log records as typed event columns, with what the schema has no place for.
+
+    `json_error` says why a record gave no event (see `json_error`), and `unknown_fields` maps the
+    fields that the schema does not name to their JSON text, so that a later generation of events
+    loses nothing. A field of the wrong type is null by itself. The text is parsed once, to VARIANT."""
+    text = F.col("value").cast("string")
+    once = F.inline(F.array(F.struct(text.alias("_text"), F.try_parse_json(text).alias("_json"))))
+    parsed = frame.select(F.col("offset").alias("kafka_offset"), once)
+    fields = [
+        F.try_variant_get("_json", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in EVENT_JSON
+    ]
+    known = F.array(*[F.lit(name) for name in EVENT_JSON.names])
+    others = F.map_filter(
+        F.try_variant_get("_json", "$", "map<string,variant>"), lambda k, _: ~F.array_contains(known, k)
+    )
+    events = parsed.select(
+        *fields,
+        "kafka_offset",
+        json_error(F.col("_text"), F.col("_json")).alias("json_error"),
+        F.transform_values(others, lambda _, v: F.to_json(v)).alias("unknown_fields"),
+    )
+    return curated_from_wire(events)
+
+
+def json_error(text: Column, parsed: Column | None = None) -> Column:
+    """Why a text gives no event at all; null where it holds a JSON object."""
+    value = F.try_parse_json(text) if parsed is None else parsed
+    return (
+        F.when(text.isNull() | (F.trim(text) == ""), "empty record")
+        .when(value.isNull(), "not JSON")
+        .when(F.try_variant_get(value, "$", "map<string,variant>").isNull(), "no JSON object")
+    )
+
+
 def event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("event_ts", F.try_to_timestamp(F.col("timestamp_utc")))
 
@@ -128,16 +163,20 @@ def curate(frame: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 def quarantine(frame: DataFrame) -> DataFrame:
     """The records curation leaves out, with their text and the reason."""
     _, rejected = quality_split(event_time(parse_events(frame, keep_raw=True)))
-    return rejected.select("kafka_offset", "raw_json", "reason")
+    # Only the rejected texts are looked at again.
+    reason = F.coalesce(json_error(F.col("raw_json")), F.col("reason"))
+    return rejected.select("kafka_offset", "raw_json", reason.alias("reason"))
 
 
 def dedup_events(df: DataFrame, key: str = "event_id", first_by: str = "kafka_offset") -> DataFrame:
-    """One row per key, the one that came first.
+    """One row per key, the one that came first. Repeats of one offset, as two partitions of the log
+    can have, are settled by event time and plant where the rows have them.
 
     The rank limit runs before the shuffle too, so copies of one event are dropped where they
     are read and a key with very many copies does not fill one task.
     """
-    order = Window.partitionBy(key).orderBy(F.col(first_by).asc_nulls_last())
+    ties = [c for c in ("event_ts", "plant_id") if c in df.columns]
+    order = Window.partitionBy(key).orderBy(F.col(first_by).asc_nulls_last(), *ties)
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 

@@ -6,6 +6,7 @@ be held against each other.
 
 from __future__ import annotations
 
+from penstock.model import ADDED_IN_V3, CURATED_TABLE, EVENT_FIELDS
 from penstock.sources.readings import ADAPTER_PLANTS
 
 
@@ -27,13 +28,13 @@ def settled_list(*names: str, digits: int = 6) -> str:
 
 
 PLANT_VALUES = ", ".join(
-    "({})".format(", ".join(f"{x}e0" if isinstance(x, float) else repr(x) for x in plant[:8]))
+    "({})".format(", ".join(f"{x}e0" if isinstance(x, float) else repr(x) for x in plant[:8] + plant[10:]))
     for plant in ADAPTER_PLANTS
 )
 
 PLANTS = f"""
 plants AS (SELECT * FROM (VALUES {PLANT_VALUES})
-  AS p(plant_id, plant_name, river, state, installed_mw, head_m, max_flow_m3_s, base_efficiency))
+  AS p(plant_id, plant_name, river, state, installed_mw, head_m, max_flow_m3_s, base_efficiency, unit_count))
 """
 
 MEASURED = f"""
@@ -49,7 +50,8 @@ measured AS (
 
 READINGS = f"""{MEASURED},
 sized AS (
-  SELECT m.*, plant_name, river, state, installed_mw, head_m, max_flow_m3_s, base_efficiency,
+  SELECT m.*, plant_name, river, state, unit_count, installed_mw, head_m,
+    max_flow_m3_s, base_efficiency,
     CASE WHEN status = 'MANUTENCAO' THEN 0e0
       ELSE max_flow_m3_s * (0.40e0 + CAST(seq % 50 AS DOUBLE) / 100e0) END AS flow_m3_s,
     CASE WHEN status = 'MANUTENCAO' THEN 0e0
@@ -103,7 +105,12 @@ metered AS (
     {rounded("1000e0 * 9.81e0 * head_m * (flow_m3_s / max_flow_m3_s) / 1000e0", 2)}
       AS casing_pressure_kpa,
     {rounded("1e0 * least(1e0, power_mw / installed_mw)", 5)} AS oee,
-    {alert_level("80e0", "72e0", "0.83e0")} AS alert_level
+    {alert_level("80e0", "72e0", "0.83e0")} AS alert_level,
+    strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp_utc,
+    CAST(seq AS INTEGER) AS sim_step, seq AS kafka_offset, flow_m3_s AS gross_flow_m3_s,
+    CASE WHEN is_anomaly THEN 'VIBRACAO_ALTA' END AS anomaly_kind,
+    CAST(NULL AS DOUBLE) AS cumulative_energy_mwh, 1000e0 AS water_density_kg_m3,
+    9.81e0 AS gravity_m_s2, 'events/3.0/readings' AS metadata
   FROM water)
 """
 
@@ -408,10 +415,23 @@ FROM long"""
 # What a stream with a watermark of 10 minutes has given out at the end of the data.
 CLOSED = "WHERE window_end <= (SELECT max(event_ts) FROM curated) - INTERVAL '10 minutes'"
 
-CURATED_COLUMNS = ", ".join(
-    ["event_id", "plant_id", "event_ts", "event_date", "event_hour", "status", "alert_level",
-     "power_mw", "wear_index", *PERFORMANCE, *FLAGS]
-)
+CURATED_COLUMNS = ", ".join(CURATED_TABLE.names)
+
+
+def parsed_events() -> str:
+    """Fields of both generations; where seq % 13 is 0, 1 or 3 the text holds no event."""
+    added = [name for wire, name, _ in EVENT_FIELDS if wire in ADDED_IN_V3]
+    columns = []
+    for _, name, _ in EVENT_FIELDS:
+        value = "'events/' || v.version || '/readings'" if name == "metadata" else name
+        there = "seq % 13 NOT IN (0, 1, 3)" + (" AND v.version = '3.0'" if name in added else "")
+        columns.append(f"CASE WHEN {there} THEN {value} END AS {name}")
+    return f"""{METERED}
+SELECT {", ".join(columns)}, seq AS kafka_offset,
+  CASE seq % 13 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'no JSON object' WHEN 3 THEN 'empty record' END
+    AS json_error,
+  CASE WHEN seq % 13 = 2 THEN 'novo={{"a":1}}' ELSE '' END AS unknown_fields
+FROM metered CROSS JOIN (VALUES ('2.0'), ('3.0')) AS v(version)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -607,8 +627,7 @@ SELECT coalesce(k.plant_id, s.plant_id) AS plant_id,
 FROM kpis k FULL JOIN seconds s ON k.plant_id = s.plant_id AND k.window_start = s.window_start""",
         "bronze_project": raw_rows,
         "stream_bronze": raw_rows,
-        "parse_events": """
-SELECT event_id AS kafka_offset, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
+        "parse_events": parsed_events(),
         "curated_from_json": curated_rows,
         "curated_from_bronze": curated_rows,
         "stream_curated": curated_rows,
@@ -619,6 +638,15 @@ WHERE CAST(event_ts AS DATE) >= (
   SELECT CAST(max(event_ts) - INTERVAL '6 hours' AS DATE) FROM curated)""",
         "keyed_json_publish": f"""{READINGS}
 SELECT plant_id AS key, event_id, status, power_mw FROM readings""",
+        "raw_retention": f"""{MEASURED}
+SELECT seq AS kafka_offset, plant_id AS kafka_key, event_ts AS kafka_timestamp FROM measured
+WHERE date_trunc('day', event_ts) >= (SELECT max(event_ts) - INTERVAL '2 days' FROM measured)""",
+        "kpi_retention": f"""{with_kpis(60)}
+SELECT plant_id, window_start, event_count FROM kpis WHERE CAST(window_start AS DATE) >=
+  (SELECT CAST(max(window_start) - INTERVAL '7 days' AS DATE) FROM kpis)""",
+        "layer_freshness": """
+SELECT * FROM (VALUES ('within', true, CAST(600 AS BIGINT), true), ('beyond', true, 600, false),
+  ('absent', false, NULL, false)) AS f(layer, has_files, age_seconds, healthy)""",
         "event_key": f"""{READINGS}
 SELECT event_id, concat_ws('-', plant_id, seq, epoch_us(event_ts) // 1000) AS event_key FROM usable""",
         "oee_below_min": f"{METERED} SELECT event_id, oee < 0.70e0 AS oee_below_min FROM metered",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from penstock.model import CURATED_TABLE, KPI_TABLE, RAW_TABLE
 from penstock.operators import curated as cur
 from penstock.operators import distribution, enrich, history, insight, kpis, raw
 from penstock.session import scratch_path
-from penstock.settings import CURVE, CURVE_V2, LIMITS_V2
+from penstock.settings import CURVE, CURVE_V2, LIMITS_V2, Settings
 from penstock.sources import log, newest, tables
 from penstock.sources import readings as src
 from penstock.streaming import jobs
@@ -43,19 +43,13 @@ METRICS = [
     "oee",
     "alert_level",
 ]
-CURATED_COLUMNS = [
-    "event_id",
-    "plant_id",
-    "event_ts",
-    "event_date",
-    "event_hour",
-    "status",
-    "alert_level",
-    "power_mw",
-    "wear_index",
-    *PERFORMANCE,
-    *FLAGS,
-]
+RETENTION = Settings()
+
+
+def whole(df: DataFrame) -> DataFrame:
+    """All columns of curated rows in a form every engine has: dates and metadata as text."""
+    parts = F.concat_ws("/", "metadata.fonte", "metadata.versao", "metadata.topico")
+    return dates_as_text(df.withColumn("metadata", parts))
 
 
 def settled(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -222,19 +216,31 @@ def bronze_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = _events(spark, sf_dir).select(
-        F.col("props").alias("value"), F.col("event_id").alias("kafka_offset")
+    """Every field of events of both generations; some texts are cut short, some are no object, some
+    have a field of a later generation."""
+    usable = _usable(spark, sf_dir)
+    frames = insight.union_by_name(*[src.event_frame(usable, version) for version in ("2.0", "3.0")])
+    text, kind = F.col("value").cast("string"), F.col("offset") % 13
+    changed = (
+        F.when(kind == 0, F.left(text, F.lit(30)))
+        .when(kind == 1, F.lit("[1, 2]"))
+        .when(kind == 2, F.concat(F.lit('{"novo":{"a":1},'), F.substring(text, 2, 1_000_000)))
+        .when(kind == 3, F.lit(None))
+        .otherwise(text)
     )
-    return cur.parse_json(frame, "k bigint", ["kafka_offset"])
+    parsed = cur.parse_variant(frames.withColumn("value", changed.cast("binary")))
+    unknown = F.concat_ws(",", F.transform(F.map_entries("unknown_fields"), lambda e: F.concat(e.key, F.lit("="), e.value)))
+    metadata = F.when(F.col("metadata").isNotNull(), F.concat_ws("/", "metadata.fonte", "metadata.versao", "metadata.topico"))
+    return parsed.withColumns({"unknown_fields": unknown, "metadata": metadata})
 
 
 def curated_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dates_as_text(cur.curate(_frame(spark, sf_dir)).select(*CURATED_COLUMNS))
+    return whole(cur.curate(_frame(spark, sf_dir)))
 
 
 def curated_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = raw.raw_project(_frame(spark, sf_dir))
-    return dates_as_text(cur.curate(raw.raw_as_frame(stored)).select(*CURATED_COLUMNS))
+    return whole(cur.curate(raw.raw_as_frame(stored)))
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,11 +397,13 @@ def _curated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _frame_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    """The readings as log records, each of them sent twice."""
+    """The readings as log records, each of them sent twice: in the same batch or in another one."""
     frame = _frame(spark, sf_dir)
     again = frame.withColumn("offset", F.col("offset") + 1_000_000_000_000)
-    frame.union(again).write.parquet(f"{base}/log")
-    return log.frame_source(spark, f"{base}/log")
+    half = F.col("offset") % 2 == 0
+    for part in (frame.union(again.filter(half)), again.filter(~half)):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/log")
+    return log.frame_source(spark, f"{base}/log", max_files=1)
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,10 +421,9 @@ def stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = _frame_stream(spark, sf_dir, base)
     # By day only: a month of readings in one batch would make a file per plant and day.
     jobs.curated_job(
-        frame, f"{base}/curated", f"{base}/state", by=["event_date"], trigger=NOW_AVAILABLE
+        frame, f"{base}/curated", f"{base}/state", by=["event_date"], trigger=NOW_AVAILABLE, unique=True
     ).awaitTermination()
-    stored = tables.table_scan(spark, f"{base}/curated", CURATED_TABLE)
-    return dates_as_text(cur.dedup_events(stored).select(*CURATED_COLUMNS))
+    return whole(tables.table_scan(spark, f"{base}/curated", CURATED_TABLE))
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -496,7 +503,7 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = retention.partition_dates(spark, path, "event_date")
     rewrite.compact(spark, path, CURATED_TABLE, "event_date", days, ["event_date"], "event_id")
     stored = tables.table_scan(spark, path, CURATED_TABLE)
-    return dates_as_text(stored.select(*CURATED_COLUMNS))
+    return whole(stored)
 
 
 def curated_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -510,9 +517,34 @@ def curated_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("event_id", "plant_id", "event_ts")
 
 
+def raw_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the raw layer when its newest record came in."""
+    base = scratch_path(spark, "retention")
+    stored = raw.raw_project(_frame(spark, sf_dir))
+    write_batch(stored, 0, f"{base}/raw", ["ingest_date"], "kafka_offset")
+    now = stored.agg(F.max("kafka_timestamp")).first()[0]
+    retention.raw_retention(spark, f"{base}/raw", now, RETENTION)
+    left = tables.table_scan(spark, f"{base}/raw", RAW_TABLE)
+    return left.select("kafka_offset", "kafka_key", "kafka_timestamp")
+
+
+def kpi_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a KPI table at its newest window."""
+    base = scratch_path(spark, "retention")
+    table = _kpis_1h(spark, sf_dir).withColumn("window_date", F.to_date("window_start"))
+    write_batch(table, 0, f"{base}/kpis", ["window_date"], "plant_id")
+    now = tables.kpi_scan(spark, f"{base}/kpis").agg(F.max("window_start")).first()[0]
+    retention.kpi_retention(spark, f"{base}/kpis", now, RETENTION)
+    return tables.kpi_scan(spark, f"{base}/kpis").select("plant_id", "window_start", "event_count")
+
+
 def layer_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = {name: (f"{sf_dir}/{name}.parquet", 600) for name in ("events", "lineitem")}
-    return freshness.layer_freshness(spark, layers)
+    """One layer under two bounds, ten minutes after its newest file; and a layer that is not there."""
+    path = f"{sf_dir}/events.parquet"
+    newest_file = tables.data_files(spark, path).agg(F.max("modificationTime")).first()[0]
+    layers = {"within": (path, 601), "beyond": (path, 600), "absent": (f"{sf_dir}/none.parquet", 601)}
+    found = freshness.layer_freshness(spark, layers, newest_file + timedelta(seconds=600))
+    return found.select("layer", (F.col("files") > 0).alias("has_files"), "age_seconds", "healthy")
 
 
 def rebuild_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -708,4 +740,6 @@ def queries() -> dict[str, Query]:
         "oee_below_min": oee_below_min,
         "table_scan": table_scan,
         "layer_freshness": layer_freshness,
+        "raw_retention": raw_retention,
+        "kpi_retention": kpi_retention,
     }

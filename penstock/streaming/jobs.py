@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from penstock.operators import curated, history, kpis, raw
 from penstock.settings import LIMITS, Limits, Settings
 from penstock.sources.tables import PARTIAL_MINUTES, table_scan
-from penstock.streaming.sinks import BATCH, BatchFunction, batch_writer, every, write_batch
+from penstock.streaming.sinks import BATCH, BatchFunction, batch_writer, every, unique_writer, write_batch
 from penstock.upkeep import dirty
 
 
@@ -70,17 +70,20 @@ def curated_job(
     upkeep: Callable[[], None] | None = None,
     trigger: dict | None = None,
     ledger: str | None = None,
+    unique: bool = False,
 ) -> StreamingQuery:
     """Log or raw table to curated table, every usable record however late.
 
-    With `ledger` the windows of each batch are noted there, for the repair of late ones.
-
-    Repeats are left to readers: KPI streams, rebuild_windows and dedup_events take each event once.
+    With `unique` the table holds each event once, repeats of any age are looked for in the table.
+    Without it repeats are left to readers: KPI streams, rebuild_windows and dedup_events take each
+    event once. With `ledger` the windows of each batch are noted there, for the repair of late ones.
     With `dedup` the stream itself drops them, and with them all that is behind the watermark."""
     rows = curated.curate(frame, limits)
     if dedup:
         rows = curated.dedup_stream(rows, settings.watermark)
     sink = batch_writer(path, list(by), "event_id")
+    if unique:
+        sink = unique_writer(path, list(by), "event_id", "event_id", "event_date", curated.dedup_events)
     if ledger:
         sink = dirty.noting(sink, path, ledger)
     sink = _kept_up(sink, settings.curated_maintenance_batches, upkeep)

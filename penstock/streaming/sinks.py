@@ -7,9 +7,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from penstock.upkeep.files import Folder
 
 BATCH = "batch_id"
 BatchFunction = Callable[[DataFrame, int], None]
+Dedup = Callable[[DataFrame], DataFrame]
 
 
 @contextmanager
@@ -55,6 +59,41 @@ def batch_writer(path: str, by: list[str], spread: str, ways: int = 8) -> BatchF
     return lambda batch, batch_id: write_batch(batch, batch_id, path, by, spread, ways)
 
 
+def unique_writer(path: str, by: list[str], spread: str, key: str, day: str, first: Dedup) -> BatchFunction:
+    """As `batch_writer`, for a table that holds each `key` once, however late it comes again.
+
+    The table is its own index: a repeat carries the time of the first record, so it is looked for in
+    the days of the batch only, in one column. Ids of the batch are met with those stored first, which
+    broadcasts them while the batch is small; what the batch shares with the table is smaller still.
+    The batch's own rows of an earlier attempt are no repeats. Batches are written one at a time."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        rows = first(batch).persist()
+        try:
+            days = [r[0] for r in rows.select(day).distinct().collect()]
+            if not days:
+                return
+            if stored(session, path):
+                schema = T.StructType([rows.schema[key], rows.schema[day], T.StructField(BATCH, T.LongType())])
+                known = session.read.schema(schema).parquet(path)
+                known = known.filter(F.col(day).isin(days) & (F.col(BATCH) != batch_id)).select(key, day)
+                with adaptive(session):
+                    repeats = known.join(rows.select(key, day), [key, day], "left_semi").distinct()
+                    write_batch(rows.join(repeats, [key, day], "left_anti"), batch_id, path, by, spread)
+            else:
+                write_batch(rows, batch_id, path, by, spread)
+        finally:
+            rows.unpersist()
+
+    return run
+
+
+def stored(session: SparkSession, path: str) -> bool:
+    """Whether there is a table yet."""
+    return bool(Folder(session, path).folders())
+
+
 def every(batches: int, task: Callable[[], None], then: BatchFunction) -> BatchFunction:
     """`then` for each batch, and `task` after each n-th; the count survives a restart."""
 
