@@ -415,6 +415,7 @@ FROM long"""
 # What a stream with a watermark of 10 minutes has given out at the end of the data.
 CLOSED = "WHERE window_end <= (SELECT max(event_ts) FROM curated) - INTERVAL '10 minutes'"
 
+EVENT_COLUMNS = ", ".join(name for _, name, _ in EVENT_FIELDS)
 CURATED_COLUMNS = ", ".join(CURATED_TABLE.names)
 
 
@@ -437,11 +438,12 @@ FROM metered CROSS JOIN (VALUES ('2.0'), ('3.0')) AS v(version)"""
 def oracle_sql() -> dict[str, str]:
     last = "plant_id, event_ts, event_id"
     curated_rows = f"{CURATED} SELECT {CURATED_COLUMNS} FROM curated"
-    raw_rows = f"""{MEASURED}
+    raw_rows = f"""{READINGS}
 SELECT plant_id AS kafka_key, 'readings' AS kafka_topic, CAST(0 AS INTEGER) AS kafka_partition,
   seq AS kafka_offset, event_ts AS kafka_timestamp, CAST(CAST(event_ts AS DATE) AS VARCHAR)
-    AS ingest_date
-FROM measured"""
+    AS ingest_date, event_id, plant_id, plant_name, status, is_anomaly, installed_mw, head_m,
+  flow_m3_s, efficiency, power_mw, turbine_temp_c, vibration_mm_s, rain_mm_h
+FROM readings"""
     rejected_rows = f"""{READINGS}
 SELECT seq AS kafka_offset, 'negative power' AS reason FROM readings WHERE power_mw < 0"""
     episodes = f"""{EPISODES}
@@ -555,11 +557,10 @@ SELECT count(*) FILTER (WHERE alert_level = 'CRITICO') AS critical,
         "file_census": """
 SELECT 'events' AS layer, CAST(1 AS BIGINT) AS files, count(*) AS rows FROM events
 UNION ALL SELECT 'lineitem', CAST(1 AS BIGINT), count(*) FROM lineitem""",
-        "recent_files_scan": "SELECT event_id, ts, value FROM events",
+        "recent_files_scan": "SELECT * FROM events WHERE event_id % 5 >= 2",
         "kpi_table_view_5m": view(5),
         "kpi_table_view_1h": view(60),
-        "newest_first": f"""{with_kpis(60)}
-SELECT plant_id, window_start, event_count FROM kpis ORDER BY window_start DESC, plant_id""",
+        "newest_first": kpi_rows(60),
         "distinct_plants": f"{READINGS} SELECT DISTINCT plant_id FROM usable",
         "plant_palette_index": f"""{READINGS}, p AS (SELECT DISTINCT plant_id FROM usable)
 SELECT plant_id, CAST((dense_rank() OVER (ORDER BY plant_id) - 1) % 5 AS INTEGER)
@@ -636,8 +637,7 @@ FROM kpis k FULL JOIN seconds s ON k.plant_id = s.plant_id AND k.window_start =
 SELECT event_id, plant_id, event_ts FROM curated
 WHERE CAST(event_ts AS DATE) >= (
   SELECT CAST(max(event_ts) - INTERVAL '6 hours' AS DATE) FROM curated)""",
-        "keyed_json_publish": f"""{READINGS}
-SELECT plant_id AS key, event_id, status, power_mw FROM readings""",
+        "keyed_json_publish": f"{METERED} SELECT plant_id AS key, {EVENT_COLUMNS} FROM metered",
         "raw_retention": f"""{MEASURED}
 SELECT seq AS kafka_offset, plant_id AS kafka_key, event_ts AS kafka_timestamp FROM measured
 WHERE date_trunc('day', event_ts) >= (SELECT max(event_ts) - INTERVAL '2 days' FROM measured)""",
@@ -650,8 +650,7 @@ SELECT * FROM (VALUES ('within', true, CAST(600 AS BIGINT), true), ('beyond', tr
         "event_key": f"""{READINGS}
 SELECT event_id, concat_ws('-', plant_id, seq, epoch_us(event_ts) // 1000) AS event_key FROM usable""",
         "oee_below_min": f"{METERED} SELECT event_id, oee < 0.70e0 AS oee_below_min FROM metered",
-        "table_scan": f"""{with_kpis(60)}
-SELECT plant_id, window_start, window_end, event_count FROM kpis""",
+        "table_scan": kpi_rows(60),
         "plant_label": f"""{READINGS}
 SELECT DISTINCT plant_id, upper(plant_id[1]) || replace(plant_id[2:], '_', ' ') AS label
 FROM usable""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from penstock.functions import alerts, machine, numbers
 from penstock.functions.numbers import settled_round
-from penstock.model import CURATED_TABLE, KPI_TABLE, RAW_TABLE
+from penstock.model import CURATED_TABLE, EVENT_JSON, KPI_TABLE, RAW_TABLE, curated_from_wire
 from penstock.operators import curated as cur
 from penstock.operators import distribution, enrich, history, insight, kpis, raw
 from penstock.session import scratch_path
@@ -211,8 +211,34 @@ def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.event_frame(src.readings(spark, sf_dir))
 
 
+PAYLOAD = [
+    "event_id",
+    "plant_id",
+    "plant_name",
+    "status",
+    "is_anomaly",
+    "installed_mw",
+    "head_m",
+    "flow_m3_s",
+    "efficiency",
+    "power_mw",
+    "turbine_temp_c",
+    "vibration_mm_s",
+    "rain_mm_h",
+]
+
+
+def _with_payload(stored: DataFrame) -> DataFrame:
+    """Raw rows with fields read from the stored text in place of the text itself, whose numbers other
+    engines print differently."""
+    kept = [c for c in RAW_TABLE.names if c != "raw_json"]
+    text = stored.withColumn("value", F.col("raw_json"))
+    parsed = curated_from_wire(cur.parse_json(text, EVENT_JSON, kept))
+    return dates_as_text(parsed.select(*kept, *PAYLOAD))
+
+
 def bronze_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dates_as_text(raw.raw_project(_frame(spark, sf_dir)).drop("raw_json"))
+    return _with_payload(raw.raw_project(_frame(spark, sf_dir)))
 
 
 def parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,15 +293,11 @@ def union_files_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_json_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key and some fields of the records that go to the log."""
-    records = _frame(spark, sf_dir)
-    text = F.col("value").cast("string")
-    return records.select(
-        F.col("key").cast("string").alias("key"),
-        F.get_json_object(text, "$.event_id").alias("event_id"),
-        F.get_json_object(text, "$.status_operacional").alias("status"),
-        F.get_json_object(text, "$.potencia_mw").cast("double").alias("power_mw"),
-    )
+    """Key and all fields of the records that go to the log."""
+    records = src.event_frame(_usable(spark, sf_dir)).withColumn("key", F.col("key").cast("string"))
+    parsed = curated_from_wire(cur.parse_json(records, EVENT_JSON, ["key"]))
+    parts = F.concat_ws("/", "metadata.fonte", "metadata.versao", "metadata.topico")
+    return parsed.withColumn("metadata", parts)
 
 
 def event_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,16 +393,19 @@ def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A KPI table by plant with its window bounds as text, read back and put in order."""
     path = f"{scratch_path(spark, 'table')}/kpis"
     as_text = {c: F.col(c).cast("string") for c in ("window_start", "window_end")}
-    written = _kpis_1h(spark, sf_dir).select("plant_id", *as_text, "event_count")
+    written = _kpis_1h(spark, sf_dir)
     written.withColumns(as_text).write.partitionBy("plant_id").parquet(path)
     stored = tables.table_scan(spark, path, tables.schema_probe(spark, path))
-    return insight.newest_first(tables.text_window_bounds(stored))
+    return settled(insight.newest_first(tables.text_window_bounds(stored)))
 
 
 def recent_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    return tables.recent_files_scan(spark, path, schema).select("event_id", "ts", "value")
+    """The three newest of five files, each a fifth of the events."""
+    events, path = _events(spark, sf_dir), f"{scratch_path(spark, 'files')}/events"
+    for part in range(5):
+        rows = events.filter(F.col("event_id") % 5 == part)
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return tables.recent_files_scan(spark, path, events.schema, n=3)
 
 
 # Streams ----------------------------------------------------------------------------------------
@@ -413,7 +438,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.raw_job(
         frame, f"{base}/raw", f"{base}/state", trigger=NOW_AVAILABLE
     ).awaitTermination()
-    return dates_as_text(tables.table_scan(spark, f"{base}/raw", RAW_TABLE).drop("raw_json"))
+    return _with_payload(tables.table_scan(spark, f"{base}/raw", RAW_TABLE))
 
 
 def stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -675,9 +700,7 @@ def queries() -> dict[str, Query]:
         "recent_files_scan": recent_files_scan,
         "kpi_table_view_5m": _on(_kpis_5m, insight.kpi_table_view),
         "kpi_table_view_1h": _on(_kpis_1h, insight.kpi_table_view),
-        "newest_first": _pick(
-            _on(_kpis_1h, insight.newest_first), "plant_id", "window_start", "event_count"
-        ),
+        "newest_first": _on(_kpis_1h, insight.newest_first, settle=True),
         "distinct_plants": _on(_usable, insight.distinct_plants),
         "plant_palette_index": _on(_usable, insight.plant_palette_index),
         "rain_power_regression": _pick(
