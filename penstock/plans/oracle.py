@@ -582,6 +582,12 @@ SELECT point, {settled("rain_mm_h")} AS rain_mm_h,
         "power_distribution_midpoint": boxes(MIDPOINT) + BOX_SELECT,
         "power_outliers": f"""{boxes(LINEAR)}
 SELECT plant_id, power_mw FROM marked WHERE NOT inside""",
+        "value_outliers": f"""{READINGS},
+quartiles AS (
+  SELECT plant_id, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+  FROM usable GROUP BY plant_id)
+SELECT event_id, u.plant_id, value FROM usable u JOIN quartiles q ON u.plant_id = q.plant_id
+WHERE value NOT BETWEEN q1 - (q3 - q1) * 1.5e0 AND q3 + (q3 - q1) * 1.5e0""",
         "running_energy": f"""{METERED}
 SELECT {last}, {settled(f"sum(energy_mwh) OVER {SO_FAR}")} AS cumulative_energy_mwh
 FROM metered""",

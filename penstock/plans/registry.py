@@ -720,6 +720,9 @@ def queries() -> dict[str, Query]:
         "power_outliers": _pick(
             _on(_usable, distribution.power_outliers), "plant_id", "power_mw"
         ),
+        "value_outliers": _pick(
+            _on(_usable, lambda df: distribution.power_outliers(df, "value")), "event_id", "plant_id", "value"
+        ),
         "running_energy": _pick(
             _on(metered, history.running_energy, settle=True), *time_line, "cumulative_energy_mwh"
         ),

@@ -70,8 +70,9 @@ class Settings:
     raw_trigger_seconds: int = 120
     curated_trigger_seconds: int = 30
     kpi_trigger_seconds: int = 30
-    max_offsets_per_trigger: int = 5000
-    max_files_per_trigger: int = 100
+    # 0: everything there is
+    max_offsets_per_trigger: int = 0
+    max_files_per_trigger: int = 0
     raw_retention_days: int = 2
     curated_retention_hours: int = 6
     kpi_retention_days: int = 7

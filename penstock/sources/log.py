@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from penstock.model import RAW_FRAME
+from penstock.settings import Settings
 
 
 def kafka_options(
@@ -31,6 +32,17 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, **options) -> Da
     return reader.options(**kafka_options(servers, topic, **options)).load()
 
 
+def settings_options(settings: Settings) -> dict[str, str]:
+    """Servers, topic and intake of the job settings as options of the reader."""
+    limit = settings.max_offsets_per_trigger or None
+    return kafka_options(settings.bootstrap_servers, settings.topic, max_offsets=limit)
+
+
+def settings_source(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The log that the job settings name."""
+    return spark.readStream.format("kafka").options(**settings_options(settings)).load()
+
+
 def frame_source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Log records from Parquet files, as a stream."""
     reader = spark.readStream.schema(RAW_FRAME)

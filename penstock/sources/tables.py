@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from penstock.model import CURATED_TABLE, KPI_TABLE
 from penstock.operators import kpis
+from penstock.settings import Settings
 
 # Width of the windows that are stored as partial rows; the widths of all KPI tables are multiples.
 PARTIAL_MINUTES = 5
@@ -57,6 +58,13 @@ def table_stream(
     return reader.parquet(path).select(*schema.names)
 
 
+def settings_stream(
+    spark: SparkSession, path: str, schema: T.StructType, settings: Settings
+) -> DataFrame:
+    """`table_stream` with the intake of the job settings."""
+    return table_stream(spark, path, schema, settings.max_files_per_trigger or None)
+
+
 def schema_probe(spark: SparkSession, path: str) -> T.StructType:
     """The schema the files themselves state; for tables that have no declared one."""
     return spark.read.parquet(path).schema

@@ -7,10 +7,21 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from penstock.settings import Settings
 from penstock.sources.tables import data_files
 from penstock.upkeep.files import Folder
 
 
+def watched_layers(
+    curated_path: str, kpi_path: str, settings: Settings = Settings()
+) -> dict[str, tuple[str, int]]:
+    """The two layers a deployment watches, with the bounds of the job settings."""
+    return {
+        "curated": (curated_path, settings.curated_fresh_seconds),
+        "kpis": (kpi_path, settings.kpi_fresh_seconds),
+    }
+
+
 def layer_freshness(
     spark: SparkSession, layers: dict[str, tuple[str, int]], now: datetime | Column | None = None
 ) -> DataFrame:

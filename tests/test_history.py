@@ -257,3 +257,56 @@ def test_outliers(spark):
     rows += [("a", START, "far", "OPERANDO", 1.0, 500.0), ("b", START, "b", "OPERANDO", 1.0, 3.0)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert [r.event_id for r in distribution.power_outliers(df).collect()] == ["far"]
+
+
+@pytest.mark.parametrize("cells", [2, 7, 4096])
+def test_selection_by_counting(spark, cells):
+    """Few cells, so that both rounds and the last order have work; values far apart and a null key."""
+    pick = random.Random(cells)
+    rows = []
+    for key in ("a", "b", None):
+        rows += [(key, pick.choice([pick.gauss(0, 1), pick.gauss(0, 1) * 1e6, 5.0, -0.0])) for _ in range(301)]
+    rows += [("one", 3.5), ("a", None), ("none", None), ("a", float("nan"))]
+    df = spark.createDataFrame(rows, "plant_id string, power_mw double")
+    shares = {"low": 0.0, "q": 0.3, "median": 0.5, "high": 1.0}
+    found = {r.plant_id: r for r in distribution.exact_quantiles(df, "plant_id", "power_mw", shares, cells=cells).collect()}
+    assert set(found) == {"a", "b", None, "one"}
+    for key, row in found.items():
+        values = sorted(v for k, v in rows if k == key and v is not None and v == v)
+        assert row.n == len(values)
+        for name, share in shares.items():
+            assert row[name] == pytest.approx(quantile(values, share, "linear")), (key, name)
+
+
+def test_distribution_reads_once_and_keeps_no_scratch(spark, days):
+    readings, _ = days
+    found = distribution.power_distribution(readings)
+    found.collect()
+    text = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "rangepartitioning" not in text and "ExistingRDD" not in text
+    assert len([line for line in text.splitlines() if "FileScan" in line]) == 1, text
+
+
+def test_sketch_error_and_merge(spark):
+    """Daily sketches of values over ten decades, with negative ones and zeros, merged in any order."""
+    pick = random.Random(8)
+    rows = [
+        (pick.choice("ab"), day, pick.choice([0.0, pick.lognormvariate(0, 4), -pick.lognormvariate(2, 3), 7.0]))
+        for day in range(6)
+        for _ in range(500)
+    ]
+    df = spark.createDataFrame(rows, "plant_id string, day int, power_mw double")
+    parts = [distribution.quantile_sketch(df.filter(F.col("day") == d), "plant_id", "power_mw") for d in (3, 1, 5, 0, 2, 4)]
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    merged = distribution.merge_sketches(stacked, "plant_id")
+    whole = distribution.quantile_sketch(df, "plant_id", "power_mw")
+    assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+    shares = {f"p{k}": k / 100 for k in range(0, 101, 5)}
+    for row in distribution.sketched_quantiles(merged, "plant_id", shares).collect():
+        values = sorted(r[2] for r in rows if r[0] == row.plant_id)
+        assert row.n == len(values)
+        for name, share in shares.items():
+            true = values[int(share * (len(values) - 1))]
+            assert abs(row[name] - true) <= distribution.ERROR * abs(true) * 1.0001, (name, row[name], true)
