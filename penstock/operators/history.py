@@ -13,7 +13,7 @@ from penstock.operators import prefix
 TIME_ORDER = ["event_ts", "event_id"]
 STATUS_COLUMNS = ["plant_id", *TIME_ORDER, "status"]
 RUN_START = ["start_ts", "start_id"]
-# Border runs of so many units are joined in one task and passed on as one unit.
+# Border runs of so many days are joined in one task and passed on as one unit.
 FAN = 64
 PLANT = T.StructType([T.StructField("plant_id", T.StringType())])
 SUMS = T.StructType(
@@ -171,8 +171,9 @@ def day_runs(readings: DataFrame, seconds: int = prefix.SECONDS) -> DataFrame:
 
 
 def join_runs(runs: DataFrame) -> DataFrame:
-    """Maintenance episodes out of `day_runs`, joined level by level: 64 days, 64 times that, all."""
-    for fan in (FAN, FAN, None):
+    """Maintenance episodes out of `day_runs`, joined level by level: 64 days, then all of those (at
+    most two rows for each 64 days of a plant's life)."""
+    for fan in (FAN, None):
         runs = merge_runs(runs, fan)
     return runs.filter("maintenance").select(
         "plant_id", "start_ts", "end_ts", F.col("next_ts").alias("resumed_ts"), "readings"

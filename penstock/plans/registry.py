@@ -110,7 +110,7 @@ def _curated_table(spark: SparkSession, sf_dir: str) -> str:
     return _STORED[known]
 
 
-def _newest_rows(n: int, where: Column | None = None) -> Query:
+def _newest_rows(n: int, where: str | None = None) -> Query:
     return lambda spark, sf_dir: newest.newest_rows(
         spark, _curated_table(spark, sf_dir), CURATED_TABLE, n, where
     )
@@ -427,8 +427,8 @@ def _frame_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     again = frame.withColumn("offset", F.col("offset") + 1_000_000_000_000)
     half = F.col("offset") % 2 == 0
     for part in (frame.union(again.filter(half)), again.filter(~half)):
-        part.coalesce(1).write.mode("append").parquet(f"{base}/log")
-    return log.frame_source(spark, f"{base}/log", max_files=1)
+        part.repartition(4).write.mode("append").parquet(f"{base}/log")
+    return log.frame_source(spark, f"{base}/log", max_files=4)
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,7 +461,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/rejected").select("kafka_offset", "reason")
 
 
-STREAM_FILES = 6
+STREAM_FILES = 4
 
 
 def _stored_readings(spark: SparkSession, rows: DataFrame, path: str) -> None:
@@ -476,18 +476,15 @@ def _stored_readings(spark: SparkSession, rows: DataFrame, path: str) -> None:
 
 def _partials(spark: SparkSession, sf_dir: str) -> str:
     """Path of the partial rows of a stream over the curated readings, each reading sent twice, in
-    a batch per file; once per session."""
-    known = (spark.sparkContext.applicationId, f"{sf_dir} partials")
-    if known not in _STORED:
-        base = scratch_path(spark, "partials")
-        rows = tables.table_scan(spark, _curated_table(spark, sf_dir), CURATED_TABLE)
-        _stored_readings(spark, rows.union(rows), f"{base}/readings")
-        readings = tables.table_stream(spark, f"{base}/readings", CURATED_TABLE, max_files=1)
-        jobs.partial_job(
-            readings, f"{base}/partials", f"{base}/state", trigger=NOW_AVAILABLE
-        ).awaitTermination()
-        _STORED[known] = f"{base}/partials"
-    return _STORED[known]
+    a batch per file."""
+    base = scratch_path(spark, "partials")
+    rows = _curated(spark, sf_dir)
+    _stored_readings(spark, rows.union(rows), f"{base}/readings")
+    readings = tables.table_stream(spark, f"{base}/readings", CURATED_TABLE, max_files=1)
+    jobs.partial_job(
+        readings, f"{base}/partials", f"{base}/state", trigger=NOW_AVAILABLE
+    ).awaitTermination()
+    return f"{base}/partials"
 
 
 def _folded(spark: SparkSession, sf_dir: str, minutes: int) -> DataFrame:
@@ -690,10 +687,10 @@ def queries() -> dict[str, Query]:
         "source_fallback": source_fallback(with_kpis=True),
         "source_fallback_snapshot": source_fallback(with_kpis=False),
         "top_recent_anomalies": _on(
-            _newest_rows(insight.TOP_ANOMALIES, F.col("is_anomaly")), insight.top_recent_anomalies
+            _newest_rows(insight.TOP_ANOMALIES, "is_anomaly"), insight.top_recent_anomalies
         ),
         "anomaly_level_counts": _on(
-            _newest_rows(insight.TOP_ANOMALIES, F.col("is_anomaly")), insight.anomaly_level_counts
+            _newest_rows(insight.TOP_ANOMALIES, "is_anomaly"), insight.anomaly_level_counts
         ),
         "anomaly_scan_coverage": _on(_events, insight.anomaly_scan_coverage),
         "file_census": file_census,

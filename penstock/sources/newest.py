@@ -28,7 +28,7 @@ def date_holding(
     path: str,
     schema: T.StructType,
     n: int,
-    where: Column | None = None,
+    where: Column | str | None = None,
     column: str = DATE,
 ) -> date | None:
     """The latest date from which on at least `n` rows (that satisfy `where`) exist; None if the
@@ -61,7 +61,7 @@ def since(readings: DataFrame, first: date | None, column: str = DATE) -> DataFr
 
 
 def newest_rows(
-    spark: SparkSession, path: str, schema: T.StructType, n: int, where: Column | None = None
+    spark: SparkSession, path: str, schema: T.StructType, n: int, where: Column | str | None = None
 ) -> DataFrame:
     """The part of the table that holds its n newest rows, for `last_n_by_time` and its like.
 
