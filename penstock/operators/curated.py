@@ -163,8 +163,9 @@ def curate(frame: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 def quarantine(frame: DataFrame) -> DataFrame:
     """The records curation leaves out, with their text and the reason."""
     _, rejected = quality_split(event_time(parse_events(frame, keep_raw=True)))
-    # Only the rejected texts are looked at again.
-    reason = F.coalesce(json_error(F.col("raw_json")), F.col("reason"))
+    # Only the rejected texts are looked at again; a record without text misses its id.
+    text = F.col("raw_json")
+    reason = F.coalesce(F.when(text.isNotNull(), json_error(text)), F.col("reason"))
     return rejected.select("kafka_offset", "raw_json", reason.alias("reason"))
 
 

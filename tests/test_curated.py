@@ -101,7 +101,7 @@ def test_timestamp_without_fraction(spark):
 @pytest.mark.parametrize(
     ("value", "reason"),
     [
-        ("this is not json", "missing event id"),
+        ("this is not json", "not JSON"),
         ("{}", "missing event id"),
         (None, "missing event id"),
         (event(usina_id=None), "missing plant"),
