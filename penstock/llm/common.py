@@ -35,6 +35,14 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.path = scratch_path(spark, label)
+        self.last = ""
+        self._count = 0
+
+    def name(self, label: str) -> str:
+        """A name not used before; `last` is the newest."""
+        self._count += 1
+        self.last = f"{label}-{self._count}"
+        return self.last
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.path}/{name}")

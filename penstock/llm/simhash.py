@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penstock.llm import common
-from penstock.session import small_side
 
 SEED = 42
 DIRECT = 2048
@@ -35,7 +34,7 @@ SHORT = 8
 DONE = 65
 # Texts sampled for frequent shingles, in how many of them one is frequent, and how many are listed.
 SAMPLED = 4000
-OFTEN = 8
+OFTEN = 3
 LISTED = 100_000
 # Rounds of centres before all pairs left are tried.
 ROUNDS = 5
@@ -269,13 +268,15 @@ def links(nodes: DataFrame, radius: int = 3, within: int | None = None, shortest
     return found.where("u != v").distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60, scratch: common.Scratch | None = None) -> DataFrame:
     """(`node`, `root`): for every node of the links (u > v) but the roots, the smallest node it
     reaches. Alternates large and small stars, each round written to the shared folder, until
-    nothing changes; raises when `most_rounds` do not suffice."""
+    nothing changes; raises when `most_rounds` do not suffice. In `scratch`, where one is given, only
+    the last round stays."""
 
     def seal(df: DataFrame) -> tuple[DataFrame, tuple]:
-        kept = common.stored(df.where("u != v").distinct(), "stars")
+        links = df.where("u != v").distinct()
+        kept = scratch.stored(links, scratch.name("stars")) if scratch else common.stored(links, "stars")
         mark = kept.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         return kept, tuple(mark)
 
@@ -287,7 +288,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = large.distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before = scratch.last if scratch else None
         stars, now = seal(small.unionByName(low.select("u", F.col("m").alias("v"))))
+        if scratch:
+            scratch.drop(before)
         if now == mark:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = now
@@ -319,9 +323,10 @@ def classes(docs: DataFrame, radius: int = 3) -> DataFrame:
     )
 
 
-def similar(texts: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFrame:
+def similar(texts: DataFrame, pairs: DataFrame, size: int, least: float, scratch: common.Scratch) -> DataFrame:
     """The `pairs` (u, v) whose sets of shingles of `size` words have at least that Jaccard index."""
-    wanted = small_side(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct())
+    named = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    wanted = scratch.stored(named, scratch.name("wanted"))
     parts = common.words(F.lower(F.coalesce("text", F.lit(""))))
     sets = (
         texts.join(wanted, "node", "left_semi")
@@ -356,97 +361,148 @@ def _sets(raw: bytes, size: int) -> np.ndarray:
 
 
 def _prefix_batches(
-    batches: Iterator[pa.RecordBatch], size: int, least: float | None, hot: np.ndarray
+    batches: Iterator[pa.RecordBatch], size: int, least: float | None, hot: np.ndarray, counts: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """Rows (token, node, n): of each text's `n` shingles, in one order of all shingles, as many of the first
+    """Rows (node, n, tokens): of each text's `n` shingles, in one order of all shingles, as many of the first
     as any set with a Jaccard index of `least` must share one of; all without `least`."""
-    kind = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
+    kind = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
+
+    def rows(nodes: list, sizes: list, tokens: list) -> pa.RecordBatch:
+        ends = np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(tokens).view(np.int64)))
+        columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), lists]
+        return pa.RecordBatch.from_arrays(columns, schema=kind)
+
     for batch in batches:
-        tokens, nodes, sizes, held = [], [], [], 0
+        nodes, sizes, tokens, held = [], [], [], 0
         for node, raw in zip(batch.column("node").to_pylist(), batch.column("raw").to_pylist(), strict=True):
             own = _sets(raw, size)
             n = len(own)
             if least is not None:
-                last = np.searchsorted(hot, own, "right") > np.searchsorted(hot, own)
-                own = np.concatenate((own[~last], own[last]))[: n - math.ceil(least * n - 1e-9) + 1]
-            tokens.append(own.view(np.int64))
-            nodes.append(np.full(len(own), node, dtype=np.int64))
-            sizes.append(np.full(len(own), n, dtype=np.int32))
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
+                    own = own[np.lexsort((own, np.where(hot[at] == own, counts[at], 0)))]
+                own = own[: n - math.ceil(least * n - 1e-9) + 1]
+            nodes.append(node)
+            sizes.append(n)
+            tokens.append(own)
             held += len(own)
             if held >= 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, nodes, sizes)], schema=kind)
-                tokens, nodes, sizes, held = [], [], [], 0
+                yield rows(nodes, sizes, tokens)
+                nodes, sizes, tokens, held = [], [], [], 0
         if tokens:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (tokens, nodes, sizes)], schema=kind)
+            yield rows(nodes, sizes, tokens)
 
 
-def prefixes(texts: DataFrame, size: int, least: float) -> DataFrame:
-    """(`token`, `node`, `n`): the prefix of each text's set of shingles, of what several texts have.
+def prefixes(texts: DataFrame, size: int, least: float, scratch: common.Scratch) -> DataFrame:
+    """(`node`, `n`, `label`, `tokens`): the prefix of each text's set of shingles, of what several texts have.
 
     Two sets with a Jaccard index of `least` share a token of their prefixes, whatever the order. Shingles
     that are frequent in a sample come last in it; the sample decides the cost only."""
     raw = texts.select("node", F.lower(F.coalesce("text", F.lit(""))).cast("binary").alias("raw"))
 
-    def tokens(frame: DataFrame, least: float | None, hot: np.ndarray) -> DataFrame:
-        return frame.mapInArrow(
-            partial(_prefix_batches, size=size, least=least, hot=hot), "token bigint, node bigint, n int"
-        )
+    def tokens(frame: DataFrame, least: float | None, hot: np.ndarray, counts: np.ndarray) -> DataFrame:
+        work = partial(_prefix_batches, size=size, least=least, hot=hot, counts=counts)
+        return frame.mapInArrow(work, "node bigint, n int, tokens array<bigint>")
 
     every = max(1, texts.count() // SAMPLED)
-    some = tokens(raw.where(F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(every)) == 0), None, np.array([], dtype=np.uint64))
-    often = some.groupBy("token").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "token").limit(LISTED)
-    hot = np.sort(np.array([r["token"] for r in often.collect()], dtype=np.int64).view(np.uint64))
-    found = common.stored(tokens(raw, least, hot), "prefixes")
-    several = found.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    return common.stored(found.join(several, "token").distinct(), "shared")
-
-
-def near_copies(texts: DataFrame, size: int, least: float) -> DataFrame:
+    nothing = np.array([], dtype=np.uint64)
+    some = tokens(raw.where(F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(every)) == 0), None, nothing, nothing)
+    often = some.select(F.explode("tokens").alias("token")).groupBy("token").count()
+    often = often.where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "token").limit(LISTED).toPandas()
+    hot = often["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(hot)
+    found = scratch.stored(tokens(raw, least, hot[order], often["count"].to_numpy()[order]), "prefixes")
+    shared = scratch.stored(_open(found.withColumn("label", F.col("node")), scratch)[0], "shared")
+    scratch.drop("prefixes")
+    return shared
+
+
+def _open(held: DataFrame, scratch: common.Scratch) -> tuple[DataFrame, int]:
+    """`held` with the tokens that texts of several labels have, the rarest first, and how many pairs of such
+    texts meet in them."""
+    each = held.select("node", "n", "label", F.explode("tokens").alias("token"))
+    counts = each.groupBy("token", "label").agg(F.count("*").alias("m"))
+    counts = counts.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("inside"))
+    mixed = scratch.stored(counts.where("m * m > inside"), scratch.name("mixed"))
+    pairs = mixed.agg(F.sum(F.expr("(m * m - inside) div 2"))).first()[0] or 0
+    lists = each.join(mixed.select("token", "m"), "token").groupBy("node", "n", "label")
+    lists = lists.agg(F.array_sort(F.collect_list(F.struct("m", "token")))["token"].alias("tokens"))
+    return lists, pairs
+
+
+def _places(held: DataFrame) -> DataFrame:
+    """A row for each token, with the number `k` of tokens of the text and the token's place `at` among them."""
+    k = F.size("tokens").alias("k")
+    return held.select("node", "n", "label", k, F.posexplode("tokens").alias("at", "token"))
+
+
+def _hopeful(a: str, b: str, least: float) -> tuple[Column, Column]:
+    """How many of the tokens two texts of different labels must share for that index, at least 1, and
+    whether their sizes and numbers of tokens allow it.
+
+    Shingles that they share lie in both prefixes or behind the one that ends first."""
+    n = [F.col(f"{x}.n") for x in (a, b)]
+    rest = F.greatest(*[F.ceil(x * least - 1e-9) - 1 for x in n])
+    need = F.greatest(F.lit(1), F.ceil((n[0] + n[1]) * (least / (1 + least)) - 1e-6) - rest)
+    sizes = F.least(*n) >= least * F.greatest(*n) - 1e-6
+    return need, sizes & (F.least(f"{a}.k", f"{b}.k") >= need)
+
+
+def near_copies(texts: DataFrame, size: int, least: float, scratch: common.Scratch) -> DataFrame:
     """(`node`, `root`) as of components() for the links between all texts whose sets of shingles have a Jaccard
     index of at least `least`; none is missed.
 
     First each text is tried with the one centre it shares most tokens with, round after round while the pairs
-    left are many; every pair found is held against the index before groups are made. Then all pairs of texts
-    that share a token and lie in different groups are tried. Only pairs within one group are left out."""
-    shared = prefixes(texts, size, least)
-    rows = shared.count()
-    sure, tried = None, None
-    labelled = shared.withColumn("label", F.col("node"))
+    left are many; every pair found is held against the index before groups are made. In every other round the
+    centre of a token is the text with the largest share of its prefix in others, as the original of many copies
+    has. Then all pairs of texts that share a token and lie in different groups are tried. Pairs that must share
+    r tokens meet in one that is not among the last r - 1 of either. Only pairs within one group, and those whose
+    sizes or numbers of shared tokens rule the index out, are left out."""
+    shared = prefixes(texts, size, least, scratch)
+    rows = shared.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    sure, tried, held = None, None, shared
     for turn in range(ROUNDS):
-        centre = labelled.groupBy("token").agg(
-            F.min_by(F.struct("node", "n", "label"), F.struct(F.xxhash64(F.lit(turn), "node"), "node")).alias("c")
-        )
-        apart = F.least("n", "c.n") >= least * F.greatest("n", "c.n") - 1e-6
-        met = labelled.join(centre, "token").where((F.col("label") != F.col("c.label")) & apart)
-        met = met.groupBy("node", F.col("c.node").alias("centre")).agg(F.count("*").alias("met"))
+        each = _places(held)
+        known = F.col("k") / (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
+        first = F.xxhash64(F.lit(turn), "node")
+        order = F.struct(first, "node") if turn % 2 else F.struct(-known, first, "node")
+        centre = each.groupBy("token").agg(F.min_by(F.struct("node", "n", "label", "k"), order).alias("c"))
+        met = each.alias("a").join(centre.select("token", "c.*").alias("c"), "token")
+        met = met.where((F.col("a.label") != F.col("c.label")) & _hopeful("a", "c", least)[1])
+        met = met.groupBy(F.col("a.node").alias("node"), F.col("c.node").alias("centre")).agg(F.count("*").alias("met"))
         if tried is not None:
             met = met.join(_both_ways(tried, "node", "centre"), ["node", "centre"], "left_anti")
         best = met.groupBy("node").agg(F.max_by("centre", F.struct("met", "centre")).alias("centre"))
         pairs = best.select(F.greatest("node", "centre").alias("u"), F.least("node", "centre").alias("v")).distinct()
-        pairs = common.stored(pairs, "tried")
-        linked = common.stored(similar(texts, pairs, size, least), "linked")
+        pairs = scratch.stored(pairs, f"tried{turn}")
+        linked = scratch.stored(similar(texts, pairs, size, least, scratch), f"linked{turn}")
         tried = pairs if tried is None else tried.union(pairs)
         sure = linked if sure is None else sure.union(linked)
-        labelled = shared.join(components(sure), "node", "left")
-        labelled = common.stored(labelled.select("token", "node", "n", F.coalesce("root", "node").alias("label")), "labelled")
-        counts = labelled.groupBy("token", "label").agg(F.count("*").alias("m"))
-        counts = counts.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("inside"))
-        mixed = common.stored(counts.where("m * m > inside"), "mixed")
-        labelled = common.stored(labelled.join(mixed.select("token"), "token"), "open")
-        if (mixed.agg(F.sum(F.expr("(m * m - inside) div 2"))).first()[0] or 0) <= rows:
+        labelled = held.drop("label").join(components(sure, scratch=scratch), "node", "left")
+        labelled = labelled.select("node", "n", F.coalesce("root", "node").alias("label"), "tokens")
+        found, left = _open(labelled, scratch)
+        held = scratch.stored(found, f"open{turn}")
+        scratch.drop(f"open{turn - 1}" if turn else "shared")
+        if left <= rows:
             break
-    a, b = labelled.alias("a"), labelled.alias("b")
-    apart = F.least("a.n", "b.n") >= least * F.greatest("a.n", "b.n") - 1e-6
-    both = a.join(b, F.col("a.token") == F.col("b.token")).where(
-        (F.col("a.node") > F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & apart
+    a, b = (_places(held).alias(x) for x in "ab")
+    need, possible = _hopeful("a", "b", least)
+    met = a.join(b, F.col("a.token") == F.col("b.token")).where(
+        (F.col("a.node") > F.col("b.node"))
+        & (F.col("a.label") != F.col("b.label"))
+        & possible
+        & (F.col("a.at") <= F.col("a.k") - need)
+        & (F.col("b.at") <= F.col("b.k") - need)
     )
-    sizes = F.col("a.n").alias("a"), F.col("b.n").alias("b")
-    met = both.groupBy(F.col("a.node").alias("u"), F.col("b.node").alias("v"), *sizes).agg(F.count("*").alias("met"))
-    # Shared tokens lie in both prefixes or behind the one that ends first.
-    rest = F.greatest(*[F.ceil(F.col(c) * least - 1e-9) - 1 for c in "ab"])
-    hopeful = met.where(F.col("met") + rest >= (F.col("a") + F.col("b")) * (least / (1 + least)) - 1e-6)
-    across = common.stored(hopeful.select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "across")
-    return components(sure.union(similar(texts, across, size, least)))
+    met = met.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+    met = scratch.stored(met.join(tried, ["u", "v"], "left_anti"), "met")
+    lists = held.select("node", "n", F.size("tokens").alias("k"), "tokens")
+    both = met.join(lists.alias("a"), F.col("u") == F.col("a.node")).join(lists.alias("b"), F.col("v") == F.col("b.node"))
+    hopeful = both.where(F.size(F.array_intersect("a.tokens", "b.tokens")) >= need).select("u", "v")
+    across = scratch.stored(hopeful, "across")
+    found = scratch.stored(similar(texts, across, size, least, scratch), "found")
+    return components(sure.union(found), scratch=scratch)
 
 
 def _both_ways(pairs: DataFrame, left: str, right: str) -> DataFrame:
@@ -462,13 +518,17 @@ def deduplicated(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFram
 
     Rows without doc_id cannot be named and are all kept; rows that share a doc_id stay or go
     together. Null texts and texts without a word are copies of each other."""
+    scratch = common.Scratch(docs.sparkSession, "near")
     keyed = docs.where("doc_id is not null").select(
         F.col("doc_id").alias("node"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"), "text"
     )
-    printed = common.stored(keyed.select("node", "digest").distinct(), "prints")
-    single = printed.groupBy("digest").agg(F.min("node").alias("first"))
-    copies = small_side(printed.join(single, "digest").where("node != first").select("node", "digest"))
+    printed = scratch.stored(keyed.select("node", "digest").distinct(), "prints")
+    single = printed.groupBy("digest").agg(F.min("node").alias("first"), F.count("*").alias("m")).where("m > 1")
+    single = scratch.stored(single.select("digest", "first"), "single")
+    copies = scratch.stored(printed.join(single, "digest").where("node != first").select("node", "digest"), "copies")
     texts = keyed.join(copies, ["node", "digest"], "left_anti").select("node", "text")
-    rooted = near_copies(texts, size, least)
+    rooted = near_copies(texts, size, least, scratch)
     gone = copies.select("node").union(rooted.select("node")).distinct().withColumnRenamed("node", "doc_id")
+    gone = common.stored(gone, "gone")
+    scratch.clear()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
