@@ -36,8 +36,9 @@ DONE = 65
 SAMPLED = 4000
 OFTEN = 3
 LISTED = 100_000
-# Rounds of centres before all pairs left are tried.
+# Rounds of centres before all pairs left are tried; fewer where not one pair in WORTH is a link.
 ROUNDS = 5
+WORTH = 4
 
 
 def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
@@ -454,7 +455,7 @@ def near_copies(texts: DataFrame, size: int, least: float, scratch: common.Scrat
     index of at least `least`; none is missed.
 
     First each text is tried with the one centre it shares most tokens with, round after round while the pairs
-    left are many; every pair found is held against the index before groups are made. In every other round the
+    left are many and those tried are often links; every pair found is held against the index before groups are made. In every other round the
     centre of a token is the text with the largest share of its prefix in others, as the original of many copies
     has. Then all pairs of texts that share a token and lie in different groups are tried. Pairs that must share
     r tokens meet in one that is not among the last r - 1 of either. Only pairs within one group, and those whose
@@ -484,7 +485,7 @@ def near_copies(texts: DataFrame, size: int, least: float, scratch: common.Scrat
         found, left = _open(labelled, scratch)
         held = scratch.stored(found, f"open{turn}")
         scratch.drop(f"open{turn - 1}" if turn else "shared")
-        if left <= rows:
+        if left <= rows or WORTH * linked.count() < pairs.count():
             break
     a, b = (_places(held).alias(x) for x in "ab")
     need, possible = _hopeful("a", "b", least)
