@@ -2,11 +2,12 @@
 
 Every run of `span` consecutive sentences is hashed and joined with all others. A run that occurred
 before, in a document with a smaller id or earlier in the same document, is a repeat, and all
-sentences that a repeat covers are removed. What a text is cut into: after '.', '!' or '?' with one
-blank character, and after a newline. A sentence of more than WHOLE words is cut again, before pairs of
-words whose hash is the least among those NEAR places before and after, so that a passage is cut alike in
-any text; its parts count as sentences. Sentences are compared without outer blanks, with inner blanks
-as one space and A-Z in lower case; pieces without a word belong to no run and stay.
+sentences that a repeat covers are removed. A text of fewer than `span` sentences is one run, so its
+copies go too. What a text is cut into: after '.', '!' or '?' with one blank character, and after a
+newline. A sentence of more than WHOLE words is cut again, before pairs of words whose hash is the
+least among those NEAR places before and after, so that a passage is cut alike in any text; its parts
+count as sentences. Sentences are compared without outer blanks, with inner blanks as one space and
+A-Z in lower case; pieces without a word belong to no run and stay.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from functools import partial
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penstock.llm import common
@@ -32,6 +33,7 @@ PART = 32
 NEAR = 4
 # Stands for a null id in the order of documents: behind all others.
 LAST = (1 << 63) - 1
+LOW = (1 << 64) - 1
 
 
 def pieces(raw: bytes) -> list[bytes]:
@@ -64,53 +66,41 @@ def parts(sentence: bytes) -> list[bytes]:
     return [sentence[a:b] for a, b in zip(edges, edges[1:])]
 
 
-def runs(raw: bytes, span: int) -> Iterator[tuple[int, int, int, bool]]:
-    """Two hashes of each run, the number of its first sentence among those with a word, and
-    whether the same run came before in this text."""
+def runs(raw: bytes, span: int) -> tuple[int, list[int], list[int]]:
+    """The number of sentences with a word, and both halves of the hash of each run, in order. A text of
+    fewer sentences is one run, which only such texts can share."""
     plain = [b" ".join(p.lower().split()) for p in pieces(raw)]
     plain = [p for p in plain if p]
-    seen = set()
-    for at in range(len(plain) - span + 1):
-        whole = b"\n".join(plain[at : at + span])
-        key = xxhash.xxh3_128_intdigest(whole)
-        high, low = key >> 64, key & ((1 << 64) - 1)
-        yield high - (1 << 63), low - (1 << 63), at, key in seen
-        seen.add(key)
+    n = max(len(plain) - span, 0) + 1 if plain else 0
+    keys = [xxhash.xxh3_128_intdigest(b"\n".join(plain[at : at + span])) for at in range(n)]
+    return len(plain), [(k >> 64) - (1 << 63) for k in keys], [(k & LOW) - (1 << 63) for k in keys]
 
 
 RUN_SCHEMA = pa.schema(
     [
-        ("high", pa.int64()),
-        ("low", pa.int64()),
-        ("at", pa.int32()),
-        ("again", pa.bool_()),
         ("id", pa.int64()),
         ("digest", pa.int64()),
+        ("n_sentences", pa.int32()),
+        ("high", pa.list_(pa.int64())),
+        ("low", pa.list_(pa.int64())),
     ]
 )
 
 
 def _run_batches(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("id", "digest", "raw"))
-        rows: list[tuple] = []
-        for id_, digest, raw in zip(*columns):
-            rows += [(*run, id_, digest) for run in runs(raw, span)]
-            if len(rows) >= 100_000:
-                yield _run_batch(rows)
-                rows = []
-        yield _run_batch(rows)
-
-
-def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows) if rows else [[]] * len(RUN_SCHEMA)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip(columns, RUN_SCHEMA)], schema=RUN_SCHEMA
-    )
+        found = [runs(raw.as_py(), span) for raw in batch.column("raw")]
+        columns = zip(*found) if found else [[]] * 3
+        own = [pa.array(c, f.type) for c, f in zip(columns, list(RUN_SCHEMA)[2:])]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), *own], schema=RUN_SCHEMA)
+
+
+def _text(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
+    text = _text("text")
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
         F.xxhash64(text).alias("digest"),
@@ -119,49 +109,60 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeats(docs: DataFrame, span: int = 2) -> DataFrame:
-    """(`id`, `digest`, `covered`): for each text with repeats, the first sentences of its repeated
-    runs. Frequent runs are counted before the shuffle; what is repeated is a table of its own, so
-    that the join back is an ordinary one, whose hot keys Spark splits."""
-    fields = "high bigint, low bigint, at int, again boolean, id bigint, digest bigint"
+def repeats(docs: DataFrame, span: int, scratch: common.Scratch) -> DataFrame:
+    """(`id`, `digest`, `n_sentences`, `covered`) of each text: `covered` holds the first sentences of
+    its runs that occurred before.
+
+    The hashes are stored as two arrays for each text. Half of a hash is counted, so frequent runs are
+    one row for each task, and only runs whose half recurs are met with each other by the whole hash;
+    what recurs is a table of its own, so that the joins are ordinary ones, whose hot keys Spark splits."""
+    fields = "id bigint, digest bigint, n_sentences int, high array<bigint>, low array<bigint>"
     found = _keyed(docs).select("id", "digest", "raw").mapInArrow(partial(_run_batches, span=span), fields)
-    found = common.stored(found, "runs")
-    first = (
-        found.groupBy("high", "low")
-        .agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("high", "low", "first_id")
+    found = scratch.stored(found.withColumn("text_no", F.monotonically_increasing_id()), "runs")
+    often = found.select(F.explode("high").alias("high")).groupBy("high").agg(F.count("*").alias("n"))
+    often = scratch.stored(often.where("n > 1").select("high"), "often")
+    each = found.select("text_no", F.posexplode(F.arrays_zip("high", "low")).alias("at", "run"))
+    met = each.select("run.high", "run.low", "text_no", "at").join(often, "high")
+    met = scratch.stored(met.join(found.select("text_no", "id", "digest"), "text_no").drop("text_no"), "met")
+    place = F.struct("id", "digest", "at")
+    first = met.groupBy("high", "low").agg(F.min(place).alias("first"))
+    later = met.join(first, ["high", "low"]).where(place > F.col("first"))
+    every = found.select("id", "digest", "n_sentences", F.lit(None).cast("int").alias("at"))
+    every = every.unionByName(later.select("id", "digest", F.lit(None).cast("int").alias("n_sentences"), "at"))
+    hits = every.groupBy("id", "digest").agg(
+        F.max("n_sentences").alias("n_sentences"), F.collect_set("at").alias("covered")
     )
-    first = common.stored(first, "repeated")
-    later = found.join(first, ["high", "low"]).where("again or id > first_id")
-    return later.groupBy("id", "digest").agg(F.collect_set("at").alias("covered"))
+    hits = scratch.stored(hits, "hits")
+    scratch.drop("runs", "often", "met")
+    return hits
 
 
-def _removed(raw: bytes, covered: list[int] | None, span: int) -> tuple[int, list[int], bytes]:
-    """Number of sentences with a word, which of them go, and the rest of the text."""
-    said = pieces(raw)
-    hit = {i for at in covered or () for i in range(at, at + span)}
+def _removed(raw: bytes, n: int, covered: list[int], span: int) -> tuple[list[int], bytes]:
+    """Which of the `n` sentences with a word go, and the rest of the text."""
+    hit = {i for at in covered for i in range(at, min(at + span, n))}
+    if not hit:
+        return [], raw
     kept, at = [], 0
-    for part in said:
+    for part in pieces(raw):
         if part.split():
             if at not in hit:
                 kept.append(part)
             at += 1
         else:
             kept.append(part)
-    return at, sorted(hit), b"".join(kept)
+    return sorted(hit), b"".join(kept)
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw, covered = (batch.column(c).to_pylist() for c in ("raw", "covered"))
-        out = [_removed(r, c, span) for r, c in zip(raw, covered)]
+        columns = (batch.column(c).to_pylist() for c in ("raw", "n_sentences", "covered"))
+        out = [_removed(*row, span) for row in zip(*columns)]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),
-                pa.array([o[0] for o in out], pa.int32()),
-                pa.array([o[1] for o in out], pa.list_(pa.int32())),
-                pa.array([o[2].decode() for o in out], pa.string()),
+                batch.column("n_sentences"),
+                pa.array([o[0] for o in out], pa.list_(pa.int32())),
+                pa.array([o[1].decode() for o in out], pa.string()),
             ],
             names=["row", "n_sentences", "removed", "cleaned"],
         )
@@ -171,11 +172,13 @@ def cut(docs: DataFrame, span: int = 2) -> DataFrame:
     """`row` (the document), `n_sentences` (parts of long ones each count), `removed` (numbers of the sentences taken out, counted
     from 0 among those with a word) and `cleaned` (the text without them).
 
-    Null text counts as empty; `cleaned` is then empty. Rows without doc_id come last in the order
-    of occurrence. Rows equal in doc_id count as one document: they are not repeats of each other.
-    Other columns pass through, whatever their names."""
-    hits = repeats(docs, span)
-    joined = _keyed(docs).join(hits, ["id", "digest"], "left").select("row", "raw", "covered")
+    Null text counts as empty; `cleaned` is then empty. What came first is settled by doc_id, then by a
+    hash of the text; rows without doc_id come last. Rows equal in doc_id and text count as one document:
+    they are not repeats of each other, with or without an id. Very long texts are cut like others, and
+    ties within a text go by place. Other columns pass through, whatever their names."""
+    hits = repeats(docs, span, common.Scratch(docs.sparkSession, "spans"))
+    joined = _keyed(docs).drop("raw").join(hits, ["id", "digest"])
+    joined = joined.select("row", _text("row.text").cast("binary").alias("raw"), "n_sentences", "covered")
     kind = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(
         partial(_cut_batches, span=span),
