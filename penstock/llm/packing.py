@@ -1,9 +1,10 @@
 """Best-fit packing by exact complements.
 
 Documents become pieces of at most `length` tokens. The plan is made from the number of pieces of
-each length, at most `length` numbers: for the longest pieces left, the gap to a full sequence is
-looked up among single lengths, sums of two and sums of three, and the combination is used as often
-as its lengths are available. What finds no exact complement is packed best-fit, longest first.
+each length, at most `length` numbers: sums of two lengths are indexed once, and for the longest pieces
+left the gap to a full sequence is looked up among single lengths, sums of two and, by their longest,
+sums of three. A combination is used as often as its lengths are available. What finds no exact
+complement is packed best-fit, longest first; where best-fit alone takes fewer sequences, its plan holds.
 Pieces then find their sequence by their rank among the pieces of their length. Ranks come from
 counts per (length, bucket), so that a length with a third of all pieces is ranked in many tasks.
 """
@@ -13,16 +14,15 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from base64 import b64decode
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from penstock.llm import common
 
@@ -31,38 +31,34 @@ EOS = 2
 # Parts of texts whose ids a worker remembers.
 REMEMBERED = 1_000_000
 BUCKET_ROWS = 1_000
-BLANKS = re.compile(r"\s\s")
+WORD_CHARS = 64
+SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 @lru_cache(maxsize=2)
-def encoder(ranks: str, pattern: str) -> Callable[[str], bytes]:
-    """Ids of a text (little-endian, 32 bits each) by the byte-level BPE whose ranks lie in the
-    file `ranks` and whose words `pattern` cuts; names of special tokens are ordinary text.
-
-    A single space between two other characters always starts a new word, so the parts between
-    such spaces have the same ids alone as in the text, and each is encoded once. Texts with two
-    blanks in a row are encoded whole."""
-    with open(ranks, "rb") as lines:
-        known_ranks = {b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    encode = tiktoken.Encoding(
-        "ranks", pat_str=pattern, mergeable_ranks=known_ranks, special_tokens={}
-    ).encode_ordinary
+def encoder(tokenizer: str) -> Callable[[str], bytes]:
+    """Ids of a text (little-endian, 32 bits each) by the byte-level BPE in the file `tokenizer`; its
+    added tokens are found in texts, none is put in.
+
+    A single space between two characters that are not blank always starts a new word, so the parts
+    between such spaces have the same ids alone as in the text, and each is encoded once."""
+    encode = Tokenizer.from_file(tokenizer).encode
     known: dict[str, bytes] = {}
 
     def ids(text: str) -> bytes:
-        return array("I", encode(text)).tobytes()
+        return array("I", encode(text, add_special_tokens=False).ids).tobytes()
 
     def whole(text: str) -> bytes:
-        if BLANKS.search(text):
-            return ids(text)
-        first, *others = text.split(" ")
+        first, *others = SPACE.split(text)
         if len(known) > REMEMBERED:
             known.clear()
         out = [ids(first)]
         for part in others:
             found = known.get(part)
             if found is None:
-                found = known[part] = ids(" " + part)
+                found = ids(" " + part)
+                if len(part) <= WORD_CHARS:
+                    known[part] = found
             out.append(found)
         return b"".join(out)
 
@@ -79,9 +75,9 @@ def cut(ids: bytes, length: int) -> list[tuple[int, int, int]]:
 
 
 def _piece_batches(
-    batches: Iterator[pa.RecordBatch], ranks: str, pattern: str, length: int, eos: int, with_ids: bool
+    batches: Iterator[pa.RecordBatch], tokenizer: str, length: int, eos: int, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
-    encode = encoder(ranks, pattern)
+    encode = encoder(tokenizer)
     end = array("I", [eos]).tobytes()
     schema = pa.schema(
         [
@@ -109,8 +105,7 @@ def _piece_batches(
 
 def pieces(
     docs: DataFrame,
-    ranks: str,
-    pattern: str,
+    tokenizer: str,
     length: int = LENGTH,
     eos: int = EOS,
     with_ids: bool = True,
@@ -119,7 +114,7 @@ def pieces(
     bytes each) of every document. Null text counts as empty: it is the end token alone."""
     fields = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        partial(_piece_batches, ranks=ranks, pattern=pattern, length=length, eos=eos, with_ids=with_ids),
+        partial(_piece_batches, tokenizer=tokenizer, length=length, eos=eos, with_ids=with_ids),
         fields + (", ids binary" if with_ids else ""),
     )
 
@@ -129,47 +124,60 @@ def _times(left: dict[int, int], combination: tuple[int, ...]) -> int:
     return min(left.get(n, 0) // k for n, k in Counter(combination).items())
 
 
-def _complement(left: dict[int, int], first: int, gap: int) -> tuple[int, ...] | None:
-    """Lengths that with `first` fill a sequence exactly: none, one, two or three, longest first."""
+def _sums(lengths: list[int], most: int) -> dict[int, list[tuple[int, int]]]:
+    """Pairs of lengths by their sum, at most `most`, those with the longest first."""
+    found: dict[int, list[tuple[int, int]]] = {}
+    for i, b in enumerate(lengths):
+        for c in lengths[i:]:
+            if b + c <= most:
+                found.setdefault(b + c, []).append((b, c))
+    return found
+
+
+def _complements(
+    left: dict[int, int], lengths: list[int], pairs: dict[int, list[tuple[int, int]]], gap: int
+) -> Iterator[tuple[int, ...]]:
+    """Lengths that add up to `gap`: none, one, two, then three, without those of which none is left."""
     if not gap:
-        return (first,)
-    if _times(left, (first, gap)):
-        return (first, gap)
-    lengths = sorted((n for n in left if n < gap), reverse=True)
-    for b in lengths:
-        if gap - b <= b and gap - b in left and _times(left, (first, b, gap - b)):
-            return (first, b, gap - b)
+        yield ()
+        return
+    if gap in left:
+        yield (gap,)
+    for b, c in pairs.get(gap, ()):
+        if b in left and c in left:
+            yield b, c
     for b in lengths:
         if 3 * b < gap:
             break
-        for c in lengths:
-            d = gap - b - c
-            if c > b or d > c or d < 1:
-                if d > c:
-                    break
-                continue
-            if d in left and _times(left, (first, b, c, d)):
-                return (first, b, c, d)
-    return None
+        if b in left:
+            for c, d in pairs.get(gap - b, ()):
+                if c <= b and c in left and d in left:
+                    yield b, c, d
 
 
 def exact_groups(counts: dict[int, int], length: int) -> tuple[list[tuple[tuple[int, ...], int]], dict[int, int]]:
     """([(lengths, sequences)], what is left): sequences that combinations fill exactly. Each
-    combination is used until one of its lengths runs out, so there are about as many as lengths."""
+    combination is used until one of its lengths runs out, so each is looked at once."""
     left = {n: k for n, k in counts.items() if k}
+    lengths = sorted(left, reverse=True)
+    pairs = _sums(lengths, length)
     groups, rest = [], {}
-    for first in sorted(left, reverse=True):
-        while left.get(first):
-            found = _complement(left, first, length - first)
-            if not found:
-                rest[first] = left.pop(first)
-                break
+    for first in lengths:
+        if first not in left:
+            continue
+        for others in _complements(left, lengths, pairs, length - first):
+            found = (first, *others)
             times = _times(left, found)
-            groups.append((found, times))
-            for n in found:
-                left[n] -= times
-                if not left[n]:
-                    del left[n]
+            if times:
+                groups.append((found, times))
+                for n in found:
+                    left[n] -= times
+                    if not left[n]:
+                        del left[n]
+                if first not in left:
+                    break
+        if first in left:
+            rest[first] = left.pop(first)
     return groups, rest
 
 
@@ -200,10 +208,12 @@ def plan(counts: dict[int, int], length: int = LENGTH) -> list[tuple[int, int, i
     ranks go to consecutive sequences, at that offset. Raises for lengths beyond `length`."""
     if counts and max(counts) > length:
         raise ValueError(f"piece of {max(counts)} tokens")
-    groups, rest = exact_groups(counts, length)
+    exact, rest = exact_groups(counts, length)
+    plans = [exact + best_fit_groups(rest, length), best_fit_groups(counts, length)]
+    groups = min(plans, key=lambda groups: sum(times for _, times in groups))
     used: Counter[int] = Counter()
     rows, sequence = [], 0
-    for content, times in groups + best_fit_groups(rest, length):
+    for content, times in groups:
         offset = 0
         for n in content:
             rows.append((n, used[n], used[n] + times - 1, sequence, offset))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from penstock.llm import audit, common, covertree, kneser_ney, licences, mixing, packing, periods, quality, sharding, simhash, spans, suffixes, toxicity
 from penstock.session import scratch_path
 
-RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,12 +27,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = packing.pieces(
-        common.documents(spark, sf_dir),
-        public_tokenizers.path(RANKS),
-        public_tokenizers.PATTERN,
-        with_ids=False,
-    )
+    tokenizer = public_tokenizers.path(TOKENIZER)
+    parts = packing.pieces(common.documents(spark, sf_dir), tokenizer, with_ids=False)
     return packing.packed(parts)
 
 

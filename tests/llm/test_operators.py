@@ -115,23 +115,66 @@ def test_mix_awkward(awkward, empty):
 # 2: sentence spans
 
 
+def cut_plainly(text):
+    """Sentences as normalised words, written down anew from the rule in the module's docstring."""
+    ends, raw = [], (text or "").encode()
+    for i, c in enumerate(raw):
+        if c == 10 and not (i and raw[i - 1] in b".!?"):
+            ends.append(i + 1)
+        elif c in b" \t\r\n" and i and raw[i - 1] in b".!?":
+            ends.append(i + 1)
+    out = []
+    for a, b in zip([0, *ends], [*ends, len(raw)]):
+        words = raw[a:b].lower().split()
+        if len(words) <= 16:
+            out.append(words)
+            continue
+        rank = [zlib.crc32(words[i + 1]) ^ (zlib.crc32(words[i], 1) >> 1) for i in range(len(words) - 1)]
+        edges = [0]
+        for i in range(5, len(words) - 4):
+            if all(rank[i] < rank[j] for j in range(i - 4, i)) and all(
+                rank[i] <= rank[j] for j in range(i + 1, min(i + 5, len(rank)))
+            ):
+                edges.append(i)
+        edges.append(len(words))
+        for x, y in zip(edges, edges[1:]):
+            k = math.ceil((y - x) / 32)
+            out += [words[x + (y - x) * j // k : x + (y - x) * (j + 1) // k] for j in range(k)]
+    return [b" ".join(w) for w in out if w]
+
+
 def test_spans_against_brute_force(spark, sf_dir, docs):
     first, texts = {}, {}
     for id_, text in sorted(docs):
-        said = [" ".join(p.split()).encode().lower() for p in spans.pieces((text or "").encode()) if p.split()] if False else [
-            b" ".join(p.lower().split()) for p in spans.pieces((text or "").encode())
-        ]
-        texts[id_] = said = [p for p in said if p]
-        for i in range(len(said) - 1):
-            first.setdefault((said[i], said[i + 1]), (id_, i))
+        texts[id_] = said = cut_plainly(text)
+        for i in range(max(len(said) - 1, min(len(said), 1))):
+            first.setdefault(tuple(said[i : i + 2]), (id_, i))
     for r in queries.op2_substring_dedup(spark, sf_dir).collect():
         said = texts[r["doc_id"]]
         gone = {
-            k for i in range(len(said) - 1) if first[said[i], said[i + 1]] != (r["doc_id"], i) for k in (i, i + 1)
+            k
+            for i in range(max(len(said) - 1, min(len(said), 1)))
+            if first[tuple(said[i : i + 2])] != (r["doc_id"], i)
+            for k in range(i, min(i + 2, len(said)))
         }
         assert r["n_sentences"] == len(said) and r["removed"] == sorted(gone)
 
 
+def test_texts_of_one_sentence_and_rows_without_id(spark):
+    two = "One two three. Four five six."
+    rows = [
+        (1, "just this"), (2, "Just  THIS"), (3, "just this. And more"), (4, "and more"),
+        (None, two + " Seven."), (None, two + " Eight."), (None, two + " Eight."), (9, two),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in spans.cut(frame).select("row.doc_id", "row.text", "removed").collect()]
+    assert {(d, tuple(r)) for d, _, r in got if d} == {(1, ()), (2, (0,)), (3, ()), (4, ()), (9, ())}
+    assert len(got) == 8 and all(r == [0, 1] for d, _, r in got if d is None)
+    # Without the row that has an id, the text whose hash is least comes first.
+    got = spans.cut(frame.where("doc_id is null")).select("row.text", "removed").collect()
+    assert len({r["text"] for r in got if not r["removed"]}) == 1 and any(r["removed"] == [0, 1] for r in got)
+
+
 def test_spans_awkward(awkward, empty):
     assert b"".join(spans.pieces(LONG.encode())) == LONG.encode()
     rows = spans.cut(awkward).select("row.doc_id", "row.text", "removed", "cleaned").collect()
@@ -213,7 +256,7 @@ def test_packing_round_trip(spark, sf_dir, docs):
 
 def test_plans_use_each_piece_once():
     rng = random.Random(1)
-    for _ in range(30):
+    for _ in range(300):
         counts = {rng.randint(1, 64): rng.randint(1, 40) for _ in range(rng.randint(0, 30))}
         rows, used, filled = packing.plan(counts, 64), collections.Counter(), collections.Counter()
         for n, low, high, first, _ in rows:
@@ -222,21 +265,22 @@ def test_plans_use_each_piece_once():
                 filled[first + i] += n
         assert used == collections.Counter(counts) and all(v <= 64 for v in filled.values())
         usual = sum(times for _, times in packing.best_fit_groups(counts, 64))
-        # With few lengths exact fills can cost a little; see the round trip for many.
-        assert len(filled) <= 1.15 * usual + 1
+        assert len(filled) <= usual
 
 
 def test_odd_blanks_and_awkward_rows(awkward, empty):
     from tokenizers import Tokenizer
 
-    encode = packing.encoder(public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN)
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    encode, tokenizer = packing.encoder(file), Tokenizer.from_file(file)
+    assert np.frombuffer(encode("a <|endoftext|> b"), "<u4").tolist()[2] == 50256
     rng = random.Random(2)
     for _ in range(500):
-        text = "".join(rng.choice(["a", "Bé", " ", " ", "\n", "\t", "1", "'s", ".", " "]) for _ in range(12))
+        chosen = ["a", "Bé", " ", " ", "\n", "\t", "1", "'s", ".", "\u00a0", "\x1c", "<|endoftext|>"]
+        text = "".join(rng.choice(chosen) for _ in range(12))
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
     def parts(df):
-        return packing.pieces(df, public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN)
+        return packing.pieces(df, file)
 
     placed = packing.packed(parts(awkward))
     assert placed.where("start = 0").count() == 11
