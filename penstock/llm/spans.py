@@ -34,6 +34,8 @@ NEAR = 4
 # Stands for a null id in the order of documents: behind all others.
 LAST = (1 << 63) - 1
 LOW = (1 << 64) - 1
+# A run with a share of over one in HOT of all that recur is met by broadcast.
+HOT = 1000
 
 
 def pieces(raw: bytes) -> list[bytes]:
@@ -125,15 +127,23 @@ def repeats(docs: DataFrame, span: int, scratch: common.Scratch) -> DataFrame:
     met = each.select("run.high", "run.low", "text_no", "at").join(often, "high")
     met = scratch.stored(met.join(found.select("text_no", "id", "digest"), "text_no").drop("text_no"), "met")
     place = F.struct("id", "digest", "at")
-    first = met.groupBy("high", "low").agg(F.min(place).alias("first"))
-    later = met.join(first, ["high", "low"]).where(place > F.col("first"))
+    first = met.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    first = scratch.stored(first.where("n > 1"), "first")
+    # Fewer than HOT runs can have a share of over one in HOT, so these are broadcast, and no key of the
+    # other join is large.
+    bound = met.count() // HOT
+    hot = F.broadcast(first.where(F.col("n") > bound))
+    met_hot = met.join(hot, ["high", "low"])
+    others = met.join(hot.select("high", "low"), ["high", "low"], "left_anti")
+    met_first = others.join(first.where(F.col("n") <= bound), ["high", "low"]).unionByName(met_hot)
+    later = met_first.where(place > F.col("first"))
     every = found.select("id", "digest", "n_sentences", F.lit(None).cast("int").alias("at"))
     every = every.unionByName(later.select("id", "digest", F.lit(None).cast("int").alias("n_sentences"), "at"))
     hits = every.groupBy("id", "digest").agg(
         F.max("n_sentences").alias("n_sentences"), F.collect_set("at").alias("covered")
     )
     hits = scratch.stored(hits, "hits")
-    scratch.drop("runs", "often", "met")
+    scratch.drop("runs", "often", "met", "first")
     return hits
 
 
