@@ -11,18 +11,20 @@ counts per (length, bucket), so that a length with a third of all pieces is rank
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
+from base64 import b64decode
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
 
 from penstock.llm import common
 
@@ -36,17 +38,22 @@ SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 @lru_cache(maxsize=2)
-def encoder(tokenizer: str) -> Callable[[str], bytes]:
+def encoder(tokenizer: str, ranks: str, pattern: str) -> Callable[[str], bytes]:
     """Ids of a text (little-endian, 32 bits each) by the byte-level BPE in the file `tokenizer`; its
-    added tokens are found in texts, none is put in.
+    added tokens are found in texts, none is put in. The merges are done on the same vocabulary as
+    `ranks`, within the words that `pattern` cuts, which takes half the time and gives the same ids.
 
     A single space between two characters that are not blank always starts a new word, so the parts
     between such spaces have the same ids alone as in the text, and each is encoded once."""
-    encode = Tokenizer.from_file(tokenizer).encode
+    with open(tokenizer, encoding="utf-8") as file:
+        added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+    with open(ranks, "rb") as lines:
+        known_ranks = {b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known_ranks, special_tokens=added)
     known: dict[str, bytes] = {}
 
     def ids(text: str) -> bytes:
-        return array("I", encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", bpe.encode(text, allowed_special="all")).tobytes()
 
     def whole(text: str) -> bytes:
         first, *others = SPACE.split(text)
@@ -75,9 +82,9 @@ def cut(ids: bytes, length: int) -> list[tuple[int, int, int]]:
 
 
 def _piece_batches(
-    batches: Iterator[pa.RecordBatch], tokenizer: str, length: int, eos: int, with_ids: bool
+    batches: Iterator[pa.RecordBatch], files: tuple[str, str, str], length: int, eos: int, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
-    encode = encoder(tokenizer)
+    encode = encoder(*files)
     end = array("I", [eos]).tobytes()
     schema = pa.schema(
         [
@@ -106,6 +113,8 @@ def _piece_batches(
 def pieces(
     docs: DataFrame,
     tokenizer: str,
+    ranks: str,
+    pattern: str,
     length: int = LENGTH,
     eos: int = EOS,
     with_ids: bool = True,
@@ -114,7 +123,7 @@ def pieces(
     bytes each) of every document. Null text counts as empty: it is the end token alone."""
     fields = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        partial(_piece_batches, tokenizer=tokenizer, length=length, eos=eos, with_ids=with_ids),
+        partial(_piece_batches, files=(tokenizer, ranks, pattern), length=length, eos=eos, with_ids=with_ids),
         fields + (", ids binary" if with_ids else ""),
     )
 

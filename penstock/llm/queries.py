@@ -12,6 +12,7 @@ from penstock.llm import audit, common, covertree, kneser_ney, licences, mixing,
 from penstock.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +28,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = public_tokenizers.path(TOKENIZER)
-    parts = packing.pieces(common.documents(spark, sf_dir), tokenizer, with_ids=False)
+    files = (public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    parts = packing.pieces(common.documents(spark, sf_dir), *files, with_ids=False)
     return packing.packed(parts)
 
 

@@ -272,7 +272,8 @@ def test_odd_blanks_and_awkward_rows(awkward, empty):
     from tokenizers import Tokenizer
 
     file = public_tokenizers.path("byte_bpe_50k.json")
-    encode, tokenizer = packing.encoder(file), Tokenizer.from_file(file)
+    files = (file, public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN)
+    encode, tokenizer = packing.encoder(*files), Tokenizer.from_file(file)
     assert np.frombuffer(encode("a <|endoftext|> b"), "<u4").tolist()[2] == 50256
     rng = random.Random(2)
     for _ in range(500):
@@ -280,7 +281,7 @@ def test_odd_blanks_and_awkward_rows(awkward, empty):
         text = "".join(rng.choice(chosen) for _ in range(12))
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
     def parts(df):
-        return packing.pieces(df, file)
+        return packing.pieces(df, *files)
 
     placed = packing.packed(parts(awkward))
     assert placed.where("start = 0").count() == 11
