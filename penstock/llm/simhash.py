@@ -395,8 +395,24 @@ def _prefix_batches(
             yield rows(nodes, sizes, tokens)
 
 
-def prefixes(texts: DataFrame, size: int, least: float, scratch: common.Scratch) -> DataFrame:
-    """(`node`, `n`, `label`, `tokens`): the prefix of each text's set of shingles, of what several texts have.
+def alike(texts: DataFrame, radius: int, scratch: common.Scratch) -> DataFrame:
+    """Links (u > v) of the fingerprints of `texts`, as of classes(): from each node to the smallest one of its
+    fingerprint, and between those a spanning forest of all links of at most `radius` bits."""
+    printed = fingerprints(texts.select("node", "text")).select("node", F.col("prints")[0].alias("fp"))
+    printed = scratch.stored(printed.distinct(), "fingerprints")
+    single = scratch.stored(printed.groupBy("fp").agg(F.min("node").alias("first")), "firsts")
+    same = printed.join(single, "fp").where("node != first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    met = links(single.select(F.col("first").alias("node"), F.array("fp").alias("prints")), radius)
+    found = scratch.stored(same.union(met).distinct(), "alike")
+    scratch.drop("fingerprints", "firsts")
+    return found
+
+
+def prefixes(
+    texts: DataFrame, labels: DataFrame, size: int, least: float, scratch: common.Scratch
+) -> tuple[DataFrame, int]:
+    """(`node`, `n`, `label`, `tokens`): the prefix of each text's set of shingles, of what texts of several labels
+    have, and how many pairs of such texts meet in them. `labels` (`node`, `root`) are as of components().
 
     Two sets with a Jaccard index of `least` share a token of their prefixes, whatever the order. Shingles
     that are frequent in a sample come last in it; the sample decides the cost only."""
@@ -414,9 +430,16 @@ def prefixes(texts: DataFrame, size: int, least: float, scratch: common.Scratch)
     hot = often["token"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(hot)
     found = scratch.stored(tokens(raw, least, hot[order], often["count"].to_numpy()[order]), "prefixes")
-    shared = scratch.stored(_open(found.withColumn("label", F.col("node")), scratch)[0], "shared")
+    lists, pairs = _open(_labelled(found, labels), scratch)
+    shared = scratch.stored(lists, "shared")
     scratch.drop("prefixes")
-    return shared
+    return shared, pairs
+
+
+def _labelled(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """`held` with the root of its node as `label`; a node without one is its own."""
+    named = held.drop("label").join(labels, "node", "left")
+    return named.select("node", "n", F.coalesce("root", "node").alias("label"), "tokens")
 
 
 def _open(held: DataFrame, scratch: common.Scratch) -> tuple[DataFrame, int]:
@@ -450,20 +473,25 @@ def _hopeful(a: str, b: str, least: float) -> tuple[Column, Column]:
     return need, sizes & (F.least(f"{a}.k", f"{b}.k") >= need)
 
 
-def near_copies(texts: DataFrame, size: int, least: float, scratch: common.Scratch) -> DataFrame:
+def near_copies(texts: DataFrame, size: int, least: float, scratch: common.Scratch, radius: int = 3) -> DataFrame:
     """(`node`, `root`) as of components() for the links between all texts whose sets of shingles have a Jaccard
     index of at least `least`; none is missed.
 
-    First each text is tried with the one centre it shares most tokens with, round after round while the pairs
-    left are many and those tried are often links; every pair found is held against the index before groups are made. In every other round the
+    Fingerprints come first: what links of at most `radius` bits connect is held against the index, link by link,
+    and makes the groups. What they miss, as one word changes many bits of a short text, is found by an exact
+    prefix join of texts in different groups. While the pairs left for it are many and those tried are often links,
+    each text is first tried with the one centre of another group it shares most tokens with. In every other round the
     centre of a token is the text with the largest share of its prefix in others, as the original of many copies
     has. Then all pairs of texts that share a token and lie in different groups are tried. Pairs that must share
     r tokens meet in one that is not among the last r - 1 of either. Only pairs within one group, and those whose
     sizes or numbers of shared tokens rule the index out, are left out."""
-    shared = prefixes(texts, size, least, scratch)
-    rows = shared.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    sure, tried, held = None, None, shared
+    tried = alike(texts, radius, scratch)
+    sure = scratch.stored(similar(texts, tried, size, least, scratch), "sure")
+    held, left = prefixes(texts, components(sure, scratch=scratch), size, least, scratch)
+    rows = held.agg(F.sum(F.size("tokens"))).first()[0] or 0
     for turn in range(ROUNDS):
+        if left <= rows:
+            break
         each = _places(held)
         known = F.col("k") / (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
         first = F.xxhash64(F.lit(turn), "node")
@@ -472,20 +500,16 @@ def near_copies(texts: DataFrame, size: int, least: float, scratch: common.Scrat
         met = each.alias("a").join(centre.select("token", "c.*").alias("c"), "token")
         met = met.where((F.col("a.label") != F.col("c.label")) & _hopeful("a", "c", least)[1])
         met = met.groupBy(F.col("a.node").alias("node"), F.col("c.node").alias("centre")).agg(F.count("*").alias("met"))
-        if tried is not None:
-            met = met.join(_both_ways(tried, "node", "centre"), ["node", "centre"], "left_anti")
+        met = met.join(_both_ways(tried, "node", "centre"), ["node", "centre"], "left_anti")
         best = met.groupBy("node").agg(F.max_by("centre", F.struct("met", "centre")).alias("centre"))
         pairs = best.select(F.greatest("node", "centre").alias("u"), F.least("node", "centre").alias("v")).distinct()
         pairs = scratch.stored(pairs, f"tried{turn}")
         linked = scratch.stored(similar(texts, pairs, size, least, scratch), f"linked{turn}")
-        tried = pairs if tried is None else tried.union(pairs)
-        sure = linked if sure is None else sure.union(linked)
-        labelled = held.drop("label").join(components(sure, scratch=scratch), "node", "left")
-        labelled = labelled.select("node", "n", F.coalesce("root", "node").alias("label"), "tokens")
-        found, left = _open(labelled, scratch)
+        tried, sure = tried.union(pairs), sure.union(linked)
+        found, left = _open(_labelled(held, components(sure, scratch=scratch)), scratch)
         held = scratch.stored(found, f"open{turn}")
         scratch.drop(f"open{turn - 1}" if turn else "shared")
-        if left <= rows or WORTH * linked.count() < pairs.count():
+        if WORTH * linked.count() < pairs.count():
             break
     a, b = (_places(held).alias(x) for x in "ab")
     need, possible = _hopeful("a", "b", least)

@@ -464,6 +464,32 @@ def test_near_copies_of_each_length_against_brute_force(spark):
     assert {r["doc_id"] for r in simhash.deduplicated(frame).collect()} == wanted
 
 
+def test_near_copies_come_from_fingerprints(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = []
+    for _ in range(20):
+        words = [f"w{rng.randint(0, 3000)}" for _ in range(200)]
+        rows += [words, list(reversed(words)), [*words, "more"], [*words, "more"], ["other", *words[1:]]]
+    rows += [["a", "b", "c"] * 30, ["a", "b", "c"] * 40, ["a", "b", "c"] * 30 + rows[0][:40]]
+    texts = [" ".join(w) for w in rows]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scratch = common.Scratch(spark, "near")
+    found = simhash.alike(frame.withColumnRenamed("doc_id", "node"), 3, scratch).collect()
+    prints = [simhash.majority(simhash.shingle_hashes(t.encode(), 3)) for t in texts]
+    assert all(u > v and (prints[u] ^ prints[v]).bit_count() <= 3 for u, v in found)
+    root = {r["doc_id"]: r["component_id"] for r in simhash.classes(frame).collect()}
+    reached = list(range(len(texts)))
+    for u, v in sorted(found, key=lambda r: (r.v, r.u)):
+        a, b = reached[u], reached[v]
+        reached = [min(a, b) if x in (a, b) else x for x in reached]
+    assert dict(enumerate(reached)) == root and len(set(reached)) < len(texts)
+    # Links of fingerprints are candidates: texts that only share frequent shingles stay apart.
+    calls = []
+    monkeypatch.setattr(simhash, "alike", lambda *a, _real=simhash.alike: calls.append(a) or _real(*a))
+    left = {r["doc_id"] for r in simhash.deduplicated(frame).collect()}
+    assert len(calls) == 1 and len(texts) - 1 in left and len(texts) - 2 not in left
+
+
 # 6: sharding
 
 
