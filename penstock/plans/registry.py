@@ -13,7 +13,7 @@ from penstock.functions.numbers import settled_round
 from penstock.model import CURATED_TABLE, EVENT_JSON, KPI_TABLE, RAW_TABLE, curated_from_wire
 from penstock.operators import curated as cur
 from penstock.operators import distribution, enrich, history, insight, kpis, raw
-from penstock.session import scratch_path
+from penstock.session import pinned, scratch_path
 from penstock.settings import CURVE, CURVE_V2, LIMITS_V2, Settings
 from penstock.sources import log, newest, tables
 from penstock.sources import readings as src
@@ -461,29 +461,28 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/rejected").select("kafka_offset", "reason")
 
 
-STREAM_FILES = 4
+STREAM_BATCHES = 4
 
 
-def _stored_readings(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Readings in files that follow each other in time, for streams of one file a batch."""
-    number = F.ntile(STREAM_FILES).over(Window.orderBy("event_date"))
-    dates = rows.select("event_date").distinct().withColumn("part", number)
-    parted = rows.join(F.broadcast(dates), "event_date").select(*rows.columns, "part").persist()
-    for part in range(1, STREAM_FILES + 1):
-        parted.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(path)
-    parted.unpersist()
+def _reading_batches(rows: DataFrame) -> list[DataFrame]:
+    """Readings in batches that follow each other in time. Only the list of days is numbered in one task."""
+    number = F.ntile(STREAM_BATCHES).over(Window.orderBy("event_date"))
+    dates = pinned(rows.select("event_date").distinct().withColumn("part", number))
+    parted = rows.join(F.broadcast(dates), "event_date").select(*rows.columns, "part")
+    return [parted.filter(F.col("part") == part).drop("part") for part in range(1, STREAM_BATCHES + 1)]
 
 
 def _partials(spark: SparkSession, sf_dir: str) -> str:
     """Path of the partial rows of a stream over the curated readings, each reading sent twice, in
-    a batch per file."""
+    runs of the stream that each take the new files, however many."""
     base = scratch_path(spark, "partials")
     rows = _curated(spark, sf_dir)
-    _stored_readings(spark, rows.union(rows), f"{base}/readings")
-    readings = tables.table_stream(spark, f"{base}/readings", CURATED_TABLE, max_files=1)
-    jobs.partial_job(
-        readings, f"{base}/partials", f"{base}/state", trigger=NOW_AVAILABLE
-    ).awaitTermination()
+    for batch in _reading_batches(rows.union(rows)):
+        batch.write.mode("append").parquet(f"{base}/readings")
+        readings = tables.table_stream(spark, f"{base}/readings", CURATED_TABLE)
+        jobs.partial_job(
+            readings, f"{base}/partials", f"{base}/state", trigger=NOW_AVAILABLE
+        ).awaitTermination()
     return f"{base}/partials"
 
 

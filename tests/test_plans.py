@@ -1,5 +1,6 @@
 """Physical plans: what reaches the scan, what is shuffled, what is broadcast."""
 
+import pathlib
 import re
 
 import pytest
@@ -92,3 +93,33 @@ def test_no_cross_joins_and_no_python_rows(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert operator not in text
+
+
+@pytest.fixture
+def many_files(spark, tmp_path, monkeypatch):
+    """Events in several files, and a session that cuts them into small pieces."""
+    monkeypatch.setattr(registry, "scratch_path", lambda _, label: f"{tmp_path}/{label}")
+    rows = spark.range(3000).selectExpr(
+        "id AS event_id",
+        "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, id * 2) AS ts",
+        "id % 7 AS user_id",
+        "CASE id % 3 WHEN 0 THEN 'error' WHEN 1 THEN 'view' ELSE 'signup' END AS event_type",
+        "CAST(id % 90 AS DOUBLE) AS value",
+    )
+    rows.repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    small = {"spark.sql.files.maxPartitionBytes": "10k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    yield str(tmp_path)
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_readings_of_kpi_streams_are_written_by_many_tasks(spark, many_files):
+    found = registry.queries()["stream_window_kpis_1h"](spark, many_files)
+    wanted = registry.queries()["window_kpis_1h"](spark, many_files)
+    last = wanted.agg({"window_end": "max"}).first()[0]
+    counted = wanted.where(wanted["window_end"] < last).select("plant_id", "window_start", "event_count")
+    assert sorted(found.select(*counted.columns).collect()) == sorted(counted.collect())
+    assert len(list(pathlib.Path(many_files, "partials", "readings").glob("*.parquet"))) > 16
