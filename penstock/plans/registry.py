@@ -421,14 +421,12 @@ def _curated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cur.derive_columns(src.metered(readings))
 
 
-def _frame_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+def _frame_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The readings as log records, each of them sent twice: in the same batch or in another one."""
     frame = _frame(spark, sf_dir)
     again = frame.withColumn("offset", F.col("offset") + 1_000_000_000_000)
     half = F.col("offset") % 2 == 0
-    for part in (frame.union(again.filter(half)), again.filter(~half)):
-        part.repartition(4).write.mode("append").parquet(f"{base}/log")
-    return log.frame_source(spark, f"{base}/log", max_files=4)
+    return [frame.union(again.filter(half)), again.filter(~half)]
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,11 +441,14 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "curated")
-    frame = _frame_stream(spark, sf_dir, base)
-    # By day only: a month of readings in one batch would make a file per plant and day.
-    jobs.curated_job(
-        frame, f"{base}/curated", f"{base}/state", by=["event_date"], trigger=NOW_AVAILABLE, unique=True
-    ).awaitTermination()
+    for records in _frame_batches(spark, sf_dir):
+        # Files of the advised size, however many; the next run of the stream takes all that are new.
+        records.hint("rebalance").write.mode("append").parquet(f"{base}/log")
+        frame = log.frame_source(spark, f"{base}/log")
+        # By day only: a month of readings in one batch would make a file per plant and day.
+        jobs.curated_job(
+            frame, f"{base}/curated", f"{base}/state", by=["event_date"], trigger=NOW_AVAILABLE, unique=True
+        ).awaitTermination()
     return whole(tables.table_scan(spark, f"{base}/curated", CURATED_TABLE))
 
 

@@ -123,3 +123,10 @@ def test_readings_of_kpi_streams_are_written_by_many_tasks(spark, many_files):
     counted = wanted.where(wanted["window_end"] < last).select("plant_id", "window_start", "event_count")
     assert sorted(found.select(*counted.columns).collect()) == sorted(counted.collect())
     assert len(list(pathlib.Path(many_files, "partials", "readings").glob("*.parquet"))) > 16
+
+
+def test_log_of_the_curated_stream_is_cut_by_size(spark, many_files):
+    found = registry.queries()["stream_curated"](spark, many_files).select("event_id", "kafka_offset").collect()
+    wanted = registry.queries()["curated_from_json"](spark, many_files).select("event_id", "kafka_offset").collect()
+    assert sorted(found) == sorted(wanted)
+    assert len(list(pathlib.Path(many_files, "curated", "log").glob("*.parquet"))) > 8
