@@ -551,7 +551,8 @@ def deduplicated(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFram
     single = printed.groupBy("digest").agg(F.min("node").alias("first"), F.count("*").alias("m")).where("m > 1")
     single = scratch.stored(single.select("digest", "first"), "single")
     copies = scratch.stored(printed.join(single, "digest").where("node != first").select("node", "digest"), "copies")
-    texts = keyed.join(copies, ["node", "digest"], "left_anti").select("node", "text")
+    # Stored, as it is read for each search: the join would move all texts every time.
+    texts = scratch.stored(keyed.join(copies, ["node", "digest"], "left_anti").select("node", "text"), "texts")
     rooted = near_copies(texts, size, least, scratch)
     gone = copies.select("node").union(rooted.select("node")).distinct().withColumnRenamed("node", "doc_id")
     gone = common.stored(gone, "gone")
