@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,6 +17,8 @@ from penstock.upkeep.files import Folder
 WORD = r"[^\x20\x09-\x0D]+"
 # Numbers that one window of a running sum holds.
 SPAN = 4096
+# Texts that go to a Python worker at once, where few_texts() holds.
+TEXTS = 500
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +33,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def few_texts(spark: SparkSession) -> Iterator[None]:
+    """For tables written inside: Arrow batches of at most TEXTS rows. Executor and worker each hold whole
+    batches outside the heap, several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    own = int(before)
+    spark.conf.set(key, str(min(own, TEXTS) if own > 0 else TEXTS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables of one operator below a folder of its own, so that they can go as soon as the tables
     made of them are written."""

@@ -399,7 +399,8 @@ def alike(texts: DataFrame, radius: int, scratch: common.Scratch) -> DataFrame:
     """Links (u > v) of the fingerprints of `texts`, as of classes(): from each node to the smallest one of its
     fingerprint, and between those a spanning forest of all links of at most `radius` bits."""
     printed = fingerprints(texts.select("node", "text")).select("node", F.col("prints")[0].alias("fp"))
-    printed = scratch.stored(printed.distinct(), "fingerprints")
+    with common.few_texts(texts.sparkSession):
+        printed = scratch.stored(printed.distinct(), "fingerprints")
     single = scratch.stored(printed.groupBy("fp").agg(F.min("node").alias("first")), "firsts")
     same = printed.join(single, "fp").where("node != first").select(F.col("node").alias("u"), F.col("first").alias("v"))
     met = links(single.select(F.col("first").alias("node"), F.array("fp").alias("prints")), radius)
@@ -429,7 +430,8 @@ def prefixes(
     often = often.where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "token").limit(LISTED).toPandas()
     hot = often["token"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(hot)
-    found = scratch.stored(tokens(raw, least, hot[order], often["count"].to_numpy()[order]), "prefixes")
+    with common.few_texts(texts.sparkSession):
+        found = scratch.stored(tokens(raw, least, hot[order], often["count"].to_numpy()[order]), "prefixes")
     lists, pairs = _open(_labelled(found, labels), scratch)
     shared = scratch.stored(lists, "shared")
     scratch.drop("prefixes")

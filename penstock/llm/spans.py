@@ -120,7 +120,8 @@ def repeats(docs: DataFrame, span: int, scratch: common.Scratch) -> DataFrame:
     what recurs is a table of its own, so that the joins are ordinary ones, whose hot keys Spark splits."""
     fields = "id bigint, digest bigint, n_sentences int, high array<bigint>, low array<bigint>"
     found = _keyed(docs).select("id", "digest", "raw").mapInArrow(partial(_run_batches, span=span), fields)
-    found = scratch.stored(found.withColumn("text_no", F.monotonically_increasing_id()), "runs")
+    with common.few_texts(docs.sparkSession):
+        found = scratch.stored(found.withColumn("text_no", F.monotonically_increasing_id()), "runs")
     often = found.select(F.explode("high").alias("high")).groupBy("high").agg(F.count("*").alias("n"))
     often = scratch.stored(often.where("n > 1").select("high"), "often")
     each = found.select("text_no", F.posexplode(F.arrays_zip("high", "low")).alias("at", "run"))
@@ -147,11 +148,11 @@ def repeats(docs: DataFrame, span: int, scratch: common.Scratch) -> DataFrame:
     return hits
 
 
-def _removed(raw: bytes, n: int, covered: list[int], span: int) -> tuple[list[int], bytes]:
-    """Which of the `n` sentences with a word go, and the rest of the text."""
+def _removed(raw: bytes | None, n: int, covered: list[int], span: int) -> tuple[list[int], str] | None:
+    """Which of the `n` sentences with a word go, and the rest of the text; nothing without a text."""
+    if raw is None:
+        return None
     hit = {i for at in covered for i in range(at, min(at + span, n))}
-    if not hit:
-        return [], raw
     kept, at = [], 0
     for part in pieces(raw):
         if part.split():
@@ -160,22 +161,7 @@ def _removed(raw: bytes, n: int, covered: list[int], span: int) -> tuple[list[in
             at += 1
         else:
             kept.append(part)
-    return sorted(hit), b"".join(kept)
-
-
-def _cut_batches(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("raw", "n_sentences", "covered"))
-        out = [_removed(*row, span) for row in zip(*columns)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("row"),
-                batch.column("n_sentences"),
-                pa.array([o[0] for o in out], pa.list_(pa.int32())),
-                pa.array([o[1].decode() for o in out], pa.string()),
-            ],
-            names=["row", "n_sentences", "removed", "cleaned"],
-        )
+    return sorted(hit), b"".join(kept).decode()
 
 
 def cut(docs: DataFrame, span: int = 2) -> DataFrame:
@@ -188,11 +174,18 @@ def cut(docs: DataFrame, span: int = 2) -> DataFrame:
     ties within a text go by place. Other columns pass through, whatever their names."""
     hits = repeats(docs, span, common.Scratch(docs.sparkSession, "spans"))
     joined = _keyed(docs).drop("raw").join(hits, ["id", "digest"])
-    joined = joined.select("row", _text("row.text").cast("binary").alias("raw"), "n_sentences", "covered")
-    kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(
-        partial(_cut_batches, span=span),
-        f"row {kind}, n_sentences int, removed array<int>, cleaned string",
+    # Only texts that lose something go to a worker, few at a time and without the rest of their rows. Spark
+    # would cut each twice where its rest is filtered, if it took the function for deterministic.
+    kind = "removed array<int>, cleaned string"
+    cutter = F.udf(partial(_removed, span=span), kind, useArrow=False).asNondeterministic()
+    text = _text("row.text")
+    raw = F.when(F.size("covered") > 0, text.cast("binary"))
+    done = joined.select("row", "n_sentences", cutter(raw, "n_sentences", "covered").alias("cut"))
+    return done.select(
+        "row",
+        "n_sentences",
+        F.coalesce("cut.removed", F.array().cast("array<int>")).alias("removed"),
+        F.coalesce("cut.cleaned", text).alias("cleaned"),
     )
 
 

@@ -215,6 +215,40 @@ def test_repeated_long_sentences_go(spark):
         assert min(over) >= 0 and sum(x < 60 for x in over) >= 39 and sum(over) < 30 * 40
 
 
+def test_few_texts_at_once_are_in_a_worker(spark, monkeypatch):
+    """Of batches of all sizes the executor and the worker hold several copies outside the heap."""
+    known, removed, most = spans._run_batches, spans._removed, common.TEXTS
+
+    def few(batches, span):
+        def each():
+            for batch in batches:
+                assert batch.num_rows <= most
+                yield batch
+
+        return known(each(), span)
+
+    cuts = spark.sparkContext.accumulator(0)
+
+    def counted(raw, n, covered, span):
+        assert raw is None or covered
+        cuts.add(int(raw is not None))
+        return removed(raw, n, covered, span)
+
+    monkeypatch.setattr(spans, "_run_batches", few)
+    monkeypatch.setattr(spans, "_removed", counted)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    n = 3 * most
+    rows = [(i, f"w{i} a. x{i} b. y{i} c. Said before. Said again. z{i} d.") for i in range(n)]
+    rows = [(i, text if i % 10 == 0 else text.replace("Said", f"s{i}")) for i, text in rows] + [(n, "Said before. Said again.")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = dict(map(tuple, spans.deduplicated(frame).collect()))
+    assert got == {
+        i: text.replace("Said before. Said again. ", "") if i and i % 10 == 0 else text for i, text in rows if i < n
+    }
+    assert cuts.value == n // 10 and spark.conf.get(key) == before
+
+
 def test_parts_are_the_sentence():
     rng = random.Random(13)
     for n in (1, 16, 17, 40, 500):
