@@ -12,7 +12,6 @@ counts per (length, bucket), so that a length with a third of all pieces is rank
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from array import array
 from base64 import b64decode
@@ -30,11 +29,7 @@ from penstock.llm import common
 
 LENGTH = 1024
 EOS = 2
-# Parts of texts whose ids a worker remembers.
-REMEMBERED = 1_000_000
 BUCKET_ROWS = 1_000
-WORD_CHARS = 64
-SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 @lru_cache(maxsize=2)
@@ -43,33 +38,14 @@ def encoder(tokenizer: str, ranks: str, pattern: str) -> Callable[[str], bytes]:
     added tokens are found in texts, none is put in. The merges are done on the same vocabulary as
     `ranks`, within the words that `pattern` cuts, which takes half the time and gives the same ids.
 
-    A single space between two characters that are not blank always starts a new word, so the parts
-    between such spaces have the same ids alone as in the text, and each is encoded once."""
+    Ids of words are not remembered: on texts with many rare words a table of them takes longer than the
+    merges, and each worker would hold hundreds of MB."""
     with open(tokenizer, encoding="utf-8") as file:
         added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
     with open(ranks, "rb") as lines:
         known_ranks = {b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known_ranks, special_tokens=added)
-    known: dict[str, bytes] = {}
-
-    def ids(text: str) -> bytes:
-        return array("I", bpe.encode(text, allowed_special="all")).tobytes()
-
-    def whole(text: str) -> bytes:
-        first, *others = SPACE.split(text)
-        if len(known) > REMEMBERED:
-            known.clear()
-        out = [ids(first)]
-        for part in others:
-            found = known.get(part)
-            if found is None:
-                found = ids(" " + part)
-                if len(part) <= WORD_CHARS:
-                    known[part] = found
-            out.append(found)
-        return b"".join(out)
-
-    return whole
+    return lambda text: bpe.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
 
 def cut(ids: bytes, length: int) -> list[tuple[int, int, int]]:
@@ -251,7 +227,8 @@ def packed(sized: DataFrame, length: int = LENGTH) -> DataFrame:
     and `offset`. The plan has a few rows per length, at most some thousands, so it is broadcast.
 
     Repeated rows are packed as often as they occur; null ids are ids like others."""
-    fixed = common.stored(sized, "pieces")
+    with common.few_texts(sized.sparkSession):
+        fixed = common.stored(sized, "pieces")
     counts = {r["length"]: r["n"] for r in fixed.groupBy("length").agg(F.count("*").alias("n")).collect()}
     segments = fixed.sparkSession.createDataFrame(
         plan(counts, length), "size long, low long, high long, first long, offset long"

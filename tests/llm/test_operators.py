@@ -4,6 +4,7 @@ import collections
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -324,6 +325,34 @@ def test_odd_blanks_and_awkward_rows(awkward, empty):
     assert packing.packed(parts(empty)).count() == 0
 
 
+def test_packing_holds_few_texts_and_no_words(spark, monkeypatch):
+    """What a worker holds follows neither the number of texts nor that of different words."""
+    known, most = packing._piece_batches, common.TEXTS
+
+    def few(batches, **options):
+        def each():
+            for batch in batches:
+                assert batch.num_rows <= most
+                yield batch
+
+        return known(each(), **options)
+
+    monkeypatch.setattr(packing, "_piece_batches", few)
+    files = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN)
+    frame = spark.createDataFrame([(i, f"w{i} x{i}") for i in range(3 * most)], "doc_id long, text string").coalesce(1)
+    rows = packing.packed(packing.pieces(frame, *files, with_ids=False)).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(3 * most))
+
+    encode = packing.encoder(*files)
+    encode("some words first")
+    tracemalloc.start()
+    for i in range(300):
+        encode(" ".join(f"w{i}x{j}" for j in range(200)))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 1_000_000
+
+
 # 4: licences
 
 
