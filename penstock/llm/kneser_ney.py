@@ -200,7 +200,7 @@ def _stats(folder: str, part: int) -> np.ndarray:
 
 @lru_cache(maxsize=4096)
 def _pairs(folder: str, bucket: int) -> tuple[np.ndarray, ...]:
-    """Keys, counts up to 255, and the places and counts of those that are larger."""
+    """Keys, counts (255 for all from 255 on), and the places and counts of those from 255 on."""
     return (
         _mapped(f"{folder}/pairs-{bucket}", np.uint64),
         _mapped(f"{folder}/times-{bucket}", np.uint8),
@@ -253,7 +253,7 @@ def _bucket_table(table: pa.Table, folder: str) -> pa.Table:
     every, n = every[order], n[order]
     heads = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
     some, total = every[heads], np.add.reduceat(n, heads)
-    many = np.flatnonzero(total > 255)
+    many = np.flatnonzero(total >= 255)
     _save(f"{folder}/pairs-{bucket}", some)
     _save(f"{folder}/times-{bucket}", np.minimum(total, 255).astype(np.uint8))
     _save(f"{folder}/many-{bucket}", np.stack([many, total[many]]))

@@ -698,6 +698,18 @@ def test_language_model_parts_and_hot_words(awkward, empty, monkeypatch):
     assert kneser_ney.score(empty, model).count() == 0
 
 
+def test_language_model_counts_around_what_a_byte_holds(spark):
+    texts = [f"x{k} y{k} " * n for k, n in enumerate((1, 2, 254, 255, 256, 257, 300, 255, 255, 700))]
+    model = kneser_ney.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for text in texts:
+        words = plain_words(text)
+        pairs = list(zip([b"", *words], [*words, b"\n"]))
+        counted = collections.Counter(pairs)
+        found = kneser_ney.tokens(text.encode(), kneser_ney._Hashes())
+        first, second, n_first, _ = kneser_ney._numbered(found, np.array([0]), model.vocabulary)
+        assert model.pair_counts(first, second, n_first).tolist() == [counted[pair] for pair in pairs]
+
+
 # 9: toxicity
 
 
